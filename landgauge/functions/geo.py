@@ -19,7 +19,7 @@ def rings(geometry: dict) -> list[list[tuple[float, float]]]:
     kind = geometry.get("type")
     if kind == "FeatureCollection":
         return [r for f in geometry["features"] for r in rings(f)]
-    if kind == "Feature":
+    if kind == "Feature" or "geometry" in geometry:
         return rings(geometry["geometry"])
     if kind == "GeometryCollection":
         return [r for g in geometry["geometries"] for r in rings(g)]
@@ -90,7 +90,7 @@ def geodesic_area_ha(geometry: dict) -> float:
     kind = geometry.get("type")
     if kind == "FeatureCollection":
         return sum(geodesic_area_ha(f) for f in geometry["features"])
-    if kind == "Feature":
+    if kind == "Feature" or "geometry" in geometry:
         return geodesic_area_ha(geometry["geometry"])
     if kind == "GeometryCollection":
         return sum(geodesic_area_ha(g) for g in geometry["geometries"])

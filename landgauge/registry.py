@@ -326,14 +326,16 @@ def natural_lands_flag(spark, sf_dir):
 
 
 _STATE = "CASE land_state WHEN 11100000 THEN 'tree_loss' WHEN 21100000 THEN 'tree_gain' WHEN 13200000 THEN 'trees_remaining_trees' ELSE 'non_trees_remaining_non_trees' END"
-_RATES = {"gross_emissions_MgCO2e": F.col("driver").cast("double"), "gross_removals_MgCO2": -F.col("canopy").cast("double"), "net_flux_MgCO2e": (F.col("driver") - F.col("canopy")).cast("double")}
+def _rates() -> dict:
+    return {"gross_emissions_MgCO2e": F.col("driver").cast("double"), "gross_removals_MgCO2": -F.col("canopy").cast("double"), "net_flux_MgCO2e": (F.col("driver") - F.col("canopy")).cast("double")}
+
 _AMOUNTS = {"gross_emissions_MgCO2e": "sum(area_ha * driver)", "gross_removals_MgCO2": "sum(-area_ha * canopy)", "net_flux_MgCO2e": "sum(area_ha * (driver - canopy))", "area_ha": "sum(area_ha)"}
 
 
 @query(_rollup_sql(f"SELECT {_ADMIN}, {_STATE} AS land_state_class, ship_year AS year, area_ha, driver, canopy FROM px WHERE land_state <> 70000000", ["land_state_class", "year"], _AMOUNTS))
 def ghg_vegetation(spark, sf_dir):
     px, iso = _tables(spark, sf_dir)
-    return batch.vegetation(px.withColumns(_RATES | {"year": F.col("ship_year")}), iso)
+    return batch.vegetation(px.withColumns(_rates() | {"year": F.col("ship_year")}), iso)
 
 
 @query(_rollup_sql(f"SELECT {_ADMIN}, category, CASE category WHEN 'cropland' THEN area_ha ELSE area_ha * 2 END AS e FROM px, (VALUES ('cropland'), ('livestock')) c(category)", ["category"], {"gross_emissions_MgCO2e": "sum(e)"}))
@@ -345,7 +347,7 @@ def ghg_agriculture(spark, sf_dir):
 @query(_rollup_sql(f"SELECT {_ADMIN}, area_ha, driver, canopy FROM px", [], _AMOUNTS))
 def ghg_mineral_soil(spark, sf_dir):
     px, iso = _tables(spark, sf_dir)
-    return batch.mineral_soil(px.withColumns(_RATES), iso)
+    return batch.mineral_soil(px.withColumns(_rates()), iso)
 
 
 @query(_rollup_sql(f"SELECT {_ADMIN}, block AS interval_end_year, area_ha, driver, mangrove FROM px", ["interval_end_year"], {"gross_emissions_MgCO2e": "sum(area_ha * (driver + 1))", "area_ha": "sum(area_ha * mangrove)"}))
