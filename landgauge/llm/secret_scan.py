@@ -39,7 +39,13 @@ _HARMLESS = re.compile(r"commit|sha\d*|md5|checksum|digest|hash|uuid|guid|integr
 _HINT = re.compile(r"token|secret|passw|pwd|api|key|auth|bearer|credential|login|private", re.I)
 #: Frequent pieces of names and prose.
 DICTIONARY = (
-    "about access account active after again agent apple array async auth back base batch before binary block board body book boot branch build button bytes cache call case change channel check child class clean click client cloud code color column com comment common config connect content context control copy core count create current data date debug default delete demo dep dev device dir disk display doc document domain down edit email end engine entry error event example exec export false fast feature field file filter find first flag font form format frame from full function get git global graph group handler hash head help here home host html http image import index info init input install inter item java join json key label lang last layer left level lib line link list load local lock log login long loop mail main make manager map mark master match max media memory menu merge message meta method min mode model module monitor month move name native net network new next node none note null number object off old open option order out output package page panel param parent parse part pass path pattern place plain play plugin point pool port post prefix print private process profile project proto public push python query queue random range raw read ready record ref region release remote remove render replace report request reset resource response rest result return right root route row rule run sample save scale scan schema script search section select send serial server service session set setting shape share shell short show side simple single site size sleep slot small snap socket source space spec split stack stage start state static status step stop storage store stream string style sub super switch sync system table tag target task team temp term test text theme thread time title token tool total track train tree true type under unit update upload url use user util valid value vector version view wait web week width window word work world write year your zone"
+    "access account array auth base cache client code color commit config content count data date debug default device domain email error event example "
+    "file format function group handle hash header home host html image index input item json label lang layer library line link list load local login main "
+    "manager master media message meta method model module month name network note null number object option order output package page param part pass path "
+    "pattern place plugin point port private process profile project public python query random record release remote report request resource response "
+    "result root route sample schema script search secret section select server service session setting simple size source space stage state status storage "
+    "stream string style system table target task team template test text theme thread time title token total tree type unit update upload user value "
+    "version video view week width window word work world write year your zone "
 ).split()
 _WORDS = {n: {w for w in DICTIONARY if len(w) == n} for n in range(3, 9)}
 
@@ -126,10 +132,14 @@ def labelled_findings(n: int = FINDINGS, seed: int = SEED) -> tuple[np.ndarray,
     word = lambda: r.choice(DICTIONARY)
     prose = lambda: " ".join(pick("etaoinshrdlu", 2, 9) for _ in range(r.randint(2, 6)))
     b64 = lambda a, b: base64.b64encode(r.randbytes(r.randint(a, b))).decode()
+    known = (
+        lambda: "AKIA" + pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 16, 16), lambda: "ghp_" + pick(alnum, 36, 36), lambda: "xoxb-" + pick("0123456789", 10, 12) + "-" + pick(alnum, 24, 24),
+        lambda: "sk_live_" + pick(alnum, 24, 32), lambda: "AIza" + pick(alnum, 35, 35), lambda: "eyJ" + pick(alnum, 20, 60) + ".eyJ" + pick(alnum, 40, 160) + "." + pick(alnum + "-_", 43, 43),
+        lambda: "-----BEGIN RSA PRIVATE KEY-----\n" + b64(200, 600) + "\n-----END RSA PRIVATE KEY-----",
+    )
     secret = (
         lambda: hex_(32, 64), lambda: pick(alnum, 20, 48), lambda: pick(alnum + "-_", 24, 64), lambda: b64(18, 48),
-        lambda: pick(alnum + "!@#$%^&*", 10, 20), lambda: "AKIA" + pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 16, 16), lambda: "ghp_" + pick(alnum, 36, 36),
-        lambda: "xoxb-" + pick("0123456789", 10, 12) + "-" + pick(alnum, 24, 24), lambda: "sk_live_" + pick(alnum, 24, 32), lambda: "AIza" + pick(alnum, 35, 35),
+        lambda: pick(alnum + "!@#$%^&*", 10, 20), *known,
     )
     names = ("token", "api_key", "apikey", "secret", "password", "client_secret", "access_key", "auth_token", "API-KEY", "TOKEN", "SECRET_KEY", "private_key", "passwd")
     forms = ('{n} = "{v}"', "{n}={v}", "{n}: {v}", '"{n}": "{v}"', "{n} = '{v}'", "Authorization: Bearer {v}", "{n} := {v}", "export {n}={v}")
@@ -147,8 +157,8 @@ def labelled_findings(n: int = FINDINGS, seed: int = SEED) -> tuple[np.ndarray,
     x, y = [], []
     while len(y) < n:
         label = r.random() < 0.5
-        body = r.choice(forms).format(n=r.choice(names), v=r.choice(secret)()) if label else r.choice(harmless)()
-        if r.random() < 0.15:
+        body = r.choice(harmless)() if not label else r.choice(known)() if r.random() < 0.2 else r.choice(forms).format(n=r.choice(names), v=r.choice(secret)())
+        if r.random() < 0.15 and "PRIVATE KEY" not in body:
             body = body.upper()
         text = f"{prose()} {body}{r.choice(('', ' ', '.', '!!', chr(10)))} {prose()}"
         for a, z, kind in candidates(text):
