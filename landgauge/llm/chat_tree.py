@@ -6,7 +6,8 @@ the nodes of a prefix tree; the tree's segments are laid out once, depth
 first, in one stream.  Each segment carries the position its first character
 has in every conversation through it, the span under the loss mask and the
 intervals of the stream that it may attend to: its ancestors' and its own.
-A conversation is read back from the intervals of its last node.
+A conversation is read back from the stream at the starts that its last node
+lists.
 """
 
 from __future__ import annotations
@@ -52,52 +53,78 @@ def segments(conversations: DataFrame) -> DataFrame:
 def paths(turns: DataFrame) -> DataFrame:
     """conv_id, path: the nodes of each conversation from its root down.
 
-    A node is named by a digest of all turns down to it; ``key`` sorts nodes
-    depth first; ``position`` is where its segment starts in a conversation.
-    Texts take no part: a turn stands as its digest and length.
+    A node is named by a digest of all turns down to it; ``position`` is where
+    its segment starts in a conversation.  Texts take no part: a turn stands
+    as its digest and length.
     """
     turn = F.struct(F.col("turn").isNull().alias("last"), "turn", "role", F.md5("segment").alias("segment_id"), F.length("segment").cast("long").alias("length"))
     lists = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
-    node = "md5(concat(coalesce(get(p, size(p) - 1).node, ''), t.segment_id))"
-    item = f"""transform(array({node}), n -> named_struct(
-        'node', n, 'parent', get(p, size(p) - 1).node, 'key', concat(coalesce(get(p, size(p) - 1).key, ''), substring(n, 1, 16)),
-        'segment_id', t.segment_id, 'length', t.length,
-        'position', coalesce(get(p, size(p) - 1).position + get(p, size(p) - 1).length, 0L)))"""
-    empty = "cast(array() AS array<struct<node: string, parent: string, key: string, segment_id: string, length: bigint, position: bigint>>)"
-    return lists.selectExpr("conv_id", f"aggregate(turns, {empty}, (p, t) -> concat(p, {item})) AS path")
+    above = "get(p, size(p) - 1)"
+    item = f"""named_struct('node', md5(concat(coalesce({above}.node, ''), t.segment_id)), 'parent', {above}.node,
+        'segment_id', t.segment_id, 'length', t.length, 'position', coalesce({above}.position + {above}.length, 0L))"""
+    empty = "cast(array() AS array<struct<node: string, parent: string, segment_id: string, length: bigint, position: bigint>>)"
+    return lists.selectExpr("conv_id", f"aggregate(turns, {empty}, (p, t) -> concat(p, array({item}))) AS path")
+
+
+def _keys(steps: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node, key: sorting by key and depth visits the tree depth first.
+
+    A key holds a part for each turn of the path that has siblings (or is a
+    root), so it is as long as the path has branchings, not turns.
+    """
+    forks = nodes.where("parent IS NOT NULL").groupBy(F.col("parent").alias("fork")).count().where("count > 1").select("fork")
+    part = F.when(F.col("fork").isNotNull() | F.col("parent").isNull(), F.substring("node", 1, 16)).otherwise("")
+    parts = steps.join(forks, F.col("parent") == F.col("fork"), "left").select("leaf", F.struct("depth", "node", part.alias("part")).alias("s"))
+    lists = parts.groupBy("leaf").agg(F.array_sort(F.collect_list("s")).alias("list"))
+    running = """aggregate(list, cast(array() AS array<struct<node: string, key: string>>),
+        (p, s) -> concat(p, array(named_struct('node', s.node, 'key', concat(coalesce(get(p, size(p) - 1).key, ''), s.part)))))"""
+    return lists.selectExpr(f"explode({running}) AS k").select("k.*").groupBy("node").agg(F.min("key").alias("key"))
 
 
 def stream(turns: DataFrame, path: DataFrame) -> DataFrame:
     """The tree's segments in their order: one row a node.
 
     Columns node, parent, depth, offset, length, position, segment,
-    loss_start, loss_length and intervals, the (start, end) of each node from
-    the root to this one.  Offsets are running totals over a range-partitioned
-    order: one total for each partition is summed in one place, no rows.
+    loss_start, loss_length, intervals and starts.  ``intervals`` are the
+    (start, end) of the stream that the node may attend to, those of its
+    ancestors and its own, neighbours joined into one; ``starts`` are the
+    offsets of the segments from the root down, given for nodes that end a
+    conversation only, so that all rows together stay in proportion to the
+    turns.  Offsets are running totals over a range-partitioned order: one
+    total for each partition is summed in one place, no rows.
     """
-    nodes = path.select(F.posexplode("path").alias("depth", "n"), "path").select("depth", "n.*", F.transform(F.slice("path", 1, F.col("depth") + 1), lambda n: n["node"]).alias("ancestors"))
-    nodes = nodes.groupBy("node").agg(*(F.first(c).alias(c) for c in ("parent", "key", "depth", "segment_id", "length", "position", "ancestors")))
+    leaves = path.select(F.get("path", F.size("path") - 1)["node"].alias("leaf"), "path").groupBy("leaf").agg(F.first("path").alias("path"))
+    steps = materialize(leaves.select("leaf", F.posexplode("path").alias("depth", "n")).select("leaf", "depth", "n.*"))
+    nodes = materialize(steps.groupBy("node").agg(*(F.first(c).alias(c) for c in ("parent", "depth", "segment_id", "length", "position")), F.min("leaf").alias("guide")))
     n = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    nodes = materialize(nodes.repartitionByRange(n, "key").withColumn("part", F.spark_partition_id()))
-    before = nodes.groupBy("part").agg(F.sum("length").alias("total"))
+    placed = nodes.join(_keys(steps, nodes), "node").repartitionByRange(n, "key", "depth").withColumn("part", F.spark_partition_id())
+    placed = materialize(placed)
+    before = placed.groupBy("part").agg(F.sum("length").alias("total"))
     before = before.select("part", (F.sum("total").over(Window.orderBy("part")) - F.col("total")).alias("before"))
-    running = F.sum("length").over(Window.partitionBy("part").orderBy("key", "node"))
-    nodes = nodes.withColumn("end", running).join(F.broadcast(before), "part")  # a row for each shuffle partition
-    nodes = nodes.withColumn("end", F.col("end") + F.col("before")).withColumn("offset", F.col("end") - F.col("length")).drop("part", "before", "key")
-    nodes = materialize(nodes)
-    spans = nodes.select("node", F.posexplode("ancestors").alias("i", "ancestor")).join(nodes.select(F.col("node").alias("ancestor"), F.col("offset").alias("start"), "end"), "ancestor")
-    spans = spans.groupBy("node").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "start", "end"))), lambda s: F.struct(s["start"], s["end"])).alias("intervals"))
+    running = F.sum("length").over(Window.partitionBy("part").orderBy("key", "depth"))
+    placed = placed.withColumn("end", running).join(F.broadcast(before), "part")  # a row for each shuffle partition
+    placed = placed.withColumn("end", F.col("end") + F.col("before")).withColumn("offset", F.col("end") - F.col("length")).drop("part", "before", "key")
+    placed = materialize(placed)
+    along = steps.select("leaf", "depth", "node").join(placed.select("node", "offset", "end"), "node")
+    lists = along.groupBy("leaf").agg(F.array_sort(F.collect_list(F.struct("depth", "offset", "end"))).alias("list"))
+    joined = """aggregate(list, cast(array() AS array<struct<start: bigint, end: bigint>>), (p, s) ->
+        IF(get(p, size(p) - 1).end = s.offset, concat(slice(p, 1, size(p) - 1), array(named_struct('start', get(p, size(p) - 1).start, 'end', s.end))),
+           concat(p, array(named_struct('start', s.offset, 'end', s.end)))))"""
+    lists = materialize(lists.selectExpr("leaf", f"{joined} AS reach", "transform(list, s -> s.offset) AS starts"))
+    own = F.transform(F.filter("reach", lambda r: r["start"] < F.col("end")), lambda r: F.struct(r["start"].alias("start"), F.least(r["end"], F.col("end")).alias("end")))
+    out = placed.join(lists.select(F.col("leaf").alias("guide"), "reach"), "guide").withColumn("intervals", own)
+    out = out.join(lists.select(F.col("leaf").alias("node"), "starts"), "node", "left")
     texts = turns.groupBy(F.md5("segment").alias("segment_id")).agg(*(F.first(c).alias(c) for c in ("segment", "loss_start", "loss_length")))
-    return nodes.join(spans, "node").join(texts, "segment_id").select("node", "parent", "depth", "offset", "length", "position", "segment", "loss_start", "loss_length", "intervals")
+    return out.join(texts, "segment_id").select("node", "parent", "depth", "offset", "length", "position", "segment", "loss_start", "loss_length", "intervals", "starts")
 
 
 def read_back(layout: DataFrame, leaves: DataFrame) -> DataFrame:
-    """node, turns, learnt of ``leaves`` (node): what their intervals hold.
+    """node, turns, learnt of ``leaves`` (node): what the stream holds at their starts.
 
     ``turns`` are the unescaped (role, text) in order, ``learnt`` the
     unescaped spans under the loss mask, ``formatted_chars`` the code points.
     """
-    wanted = layout.join(leaves, "node", "left_semi").select("node", F.posexplode("intervals").alias("i", "interval")).select("node", "i", F.col("interval.start").alias("offset"))
+    wanted = layout.join(leaves, "node", "left_semi").select("node", F.posexplode("starts").alias("i", "offset"))
     parsed = rf"(?s)^\Q{TURN}\E(.*?)\Q{TEXT}\E(.*)\Q{END}\E$"
     parts = layout.select(
         "offset",
