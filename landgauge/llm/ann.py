@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 from landgauge.llm.common import materialize, table
 
 #: Hash tables; buckets probed in each, as a share of all that one axis gives; rows of one block.
-TABLES, PROBE_SHARE, BLOCK_ROWS, SEED = 12, 0.25, 4096, 11
-#: Rows for each bucket that a longer key is taken for.
-BUCKET_ROWS = 2048
+TABLES, PROBE_SHARE, BLOCK_ROWS, SEED = 5, 0.2, 4096, 11
+#: Rows for each bucket that a longer key is taken for; tables that each further axis of a key is made up for by.
+BUCKET_ROWS, MORE = 2048, 3
 NEAREST, EVERY = 10, 100
 
 
@@ -93,19 +93,22 @@ def search(vectors: DataFrame, nearest: int = NEAREST, every: int = EVERY, table
     of repeated rows each counts.
     """
     ok = F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists("embedding", lambda x: x != 0)
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")).where(ok)
+    # Floats travel as floats; distances are taken in double precision.
+    kind = "float" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "double"
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(f"array<{kind}>").alias("embedding")).where(ok)
     lengths = rows.groupBy(F.size("embedding").alias("dim")).count().orderBy(F.desc("count"), "dim").first()
     schema = "query_id long, rank int, vec_id long, score double"
     if lengths is None:
         return vectors.sparkSession.createDataFrame([], schema)
     dim = lengths["dim"]
     # -0.0 equals 0.0 in distances, so it does in the identity of a vector.
-    rows = materialize(rows.where(F.size("embedding") == dim).select("vec_id", F.transform("embedding", lambda x: x + F.lit(0.0)).alias("embedding")).withColumn("v", F.sha2(F.concat_ws(",", F.col("embedding").cast("array<string>")), 256)))
+    rows = materialize(rows.where(F.size("embedding") == dim).select("vec_id", F.transform("embedding", lambda x: x + F.lit(0.0).cast(kind)).alias("embedding")).withColumn("v", F.md5(F.concat_ws(",", F.col("embedding").cast("array<string>")))))
     # Equal vectors stand for each other; their smallest ids are all that a query can return of them.
     distinct = materialize(rows.groupBy("v").agg(F.first("embedding").alias("embedding"), F.max((F.col("vec_id") % every == 0).cast("int")).alias("asks")))
     n = distinct.count()
     width = max(2, 1 << math.ceil(math.log2(dim)))
     axes = max(1, round(math.log(max(1, n / BUCKET_ROWS)) / math.log(2 * width)))
+    tables *= MORE ** (axes - 1)
     hashing = CrossPolytope(dim, tables, axes)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,7 +127,7 @@ def search(vectors: DataFrame, nearest: int = NEAREST, every: int = EVERY, table
                     row = pa.array(np.repeat(np.arange(len(x)), keys.shape[1]))
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(keys.size, t, np.int32)), pa.array(keys.ravel()), b.column(0).take(row)], ["t", "key", "q"])
 
-    placed = distinct.select("v", "embedding").mapInArrow(place, "t int, key long, v string, embedding array<double>")
+    placed = distinct.select("v", "embedding").mapInArrow(place, f"t int, key long, v string, embedding array<{kind}>")
     placed = materialize(placed)
     blocks = placed.groupBy("t", "key").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))
     asked = distinct.where("asks = 1").select("v", "embedding")
