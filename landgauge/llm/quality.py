@@ -124,17 +124,17 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> n
     return np.frombuffer(bytes(found[0][0]), np.float32) if found else np.zeros(SIZE + 1, np.float32)
 
 
-def scored(docs: DataFrame, weights: np.ndarray, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` of ``docs`` with ``score``."""
+def scored(docs: DataFrame, weights: np.ndarray, keep: list[str], name: str = "score") -> DataFrame:
+    """The columns ``keep`` of ``docs`` with the score under ``name``."""
     given = docs.sparkSession.sparkContext.broadcast(weights)
     rows = docs.select(*keep, text_of().alias("__text"))
-    schema = rows.drop("__text").withColumn("score", F.lit(0.0)).schema
+    schema = rows.drop("__text").withColumn(name, F.lit(0.0)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = given.value
         for b in batches:
             s = pa.array([score(w, t) for t in b.column(len(keep)).to_pylist()], pa.float64())
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], s], [*keep, "score"])
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], s], [*keep, name])
 
     return rows.mapInArrow(run, schema)
 
