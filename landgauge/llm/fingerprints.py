@@ -1,7 +1,8 @@
 """Document fingerprints: an invertible Bloom lookup sketch, in SQL functions alone.
 
-A text's paragraphs (lines, cut after ``PARAGRAPH`` code points) are hashed to
-64-bit digests; the fingerprint is a table of three times ``BASE`` cells, each
+A text's paragraphs (lines, cut after ``PARAGRAPH`` code points, in the first
+``HEAD`` code points of a text after ``HEAD_PARAGRAPH``, so that short texts have
+several) are hashed to 64-bit digests; the fingerprint is a table of three times ``BASE`` cells, each
 holding the number, the XOR of the digests and the XOR of their check hashes
 of those that fall into it.  Subtracting two tables cancels what two texts
 share; peeling cells that hold one digest recovers the rest.  Where a table
@@ -18,7 +19,7 @@ from pyspark.sql.window import Window
 
 from landgauge.llm.common import table, text_of
 
-PARAGRAPH, BASE = 192, 4
+PARAGRAPH, HEAD, HEAD_PARAGRAPH, BASE = 192, 1024, 96, 4
 #: Digests of a side in a bucket, on average; cells of a bucket's tables (a third of them each) by attempt.
 BUCKET, ATTEMPTS, ROUNDS = 4, (8, 32, 128), 10
 #: Documents of one group of neighbours, and the most groups (so that their heads have a bounded size).
@@ -27,7 +28,9 @@ GROUP_ROWS, MOST_GROUPS, COARSE, NAMELESS = 512, 65_536, 256, 64
 
 def digests(text: str) -> str:
     """SQL: the distinct paragraph digests of a text."""
-    return f"array_distinct(transform(regexp_extract_all({text}, '[^\\\\n]{{1,{PARAGRAPH}}}', 0), s -> xxhash64(s)))"
+    cut = lambda t, n: f"regexp_extract_all({t}, '[^\\\\n]{{1,{n}}}', 0)"
+    head, tail = cut(f"substring({text}, 1, {HEAD})", HEAD_PARAGRAPH), cut(f"substring({text}, {HEAD + 1})", PARAGRAPH)
+    return f"array_distinct(transform(concat({head}, {tail}), s -> xxhash64(s)))"
 
 
 def cells(d: str, m: int) -> str:
