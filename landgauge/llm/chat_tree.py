@@ -72,7 +72,8 @@ def _keys(steps: DataFrame, nodes: DataFrame) -> DataFrame:
     A key holds a part for each turn of the path that has siblings (or is a
     root), so it is as long as the path has branchings, not turns.
     """
-    forks = nodes.where("parent IS NOT NULL").groupBy(F.col("parent").alias("fork")).count().where("count > 1").select("fork")
+    # Written, so that the join below is one of two plain shuffles, of which Spark can split a hot parent's.
+    forks = materialize(nodes.where("parent IS NOT NULL").groupBy(F.col("parent").alias("fork")).count().where("count > 1").select("fork"))
     part = F.when(F.col("fork").isNotNull() | F.col("parent").isNull(), F.substring("node", 1, 16)).otherwise("")
     parts = steps.join(forks, F.col("parent") == F.col("fork"), "left").select("leaf", F.struct("depth", "node", part.alias("part")).alias("s"))
     lists = parts.groupBy("leaf").agg(F.array_sort(F.collect_list("s")).alias("list"))
