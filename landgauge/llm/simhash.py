@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landgauge.llm.common import hex16, materialize, table, text_of
+from landgauge.llm.near_copies import alike, text_key
 
 RADIUS, SHINGLE, SEED, BITS = 4, 4, 42, 64
 #: Expected distinct fingerprints in a bucket; more fingerprints get longer bucket keys.
@@ -267,22 +268,23 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     return rows.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_first(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` that stay: one of each class, that with its smallest id.
+def keep_first(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay: one of each class of like texts.
 
-    Of rows with the same id one stays, and of a class without ids the first
-    text in code point order.
+    Texts are alike if they have the same words, or if their five-word
+    shingles have a Jaccard index of at least 0.8; chains of like texts are
+    one class.  The row with the smallest id stays, rows without an id last,
+    ties by a hash of the text.
     """
-    found = near_duplicates(docs, radius)
-    kept = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    with_id = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    nameless = found.where(F.col("component_id").isNull()).groupBy("fp").count().limit(1)
-    if not nameless.count():
-        return with_id
-    rows = docs.where(F.col("doc_id").isNull())
-    fp = fingerprints(rows.select(F.xxhash64(text_of()).alias("doc_id"), "text")).where(F.col("fp").isNotNull())
-    first = fp.join(found.where(F.col("component_id").isNull()).select("fp").distinct(), "fp", "left_semi").groupBy("fp").agg(F.min("doc_id").alias("__h"))
-    return with_id.unionByName(rows.withColumn("__h", F.xxhash64(text_of())).join(first.select("__h"), "__h", "left_semi").dropDuplicates(["__h"]).drop("__h"))
+    order = F.struct(F.col("doc_id").isNull().alias("nameless"), F.col("doc_id").cast("long").alias("id"), F.xxhash64(text_of()).alias("h"))
+    first = docs.groupBy(text_key().alias("__u")).agg(F.min_by(F.struct(*docs.columns), order).alias("row"))
+    first = materialize(first.select("__u", "row.*"))
+    found = alike(first.select(F.col("__u").alias("u"), text_of().alias("text")), components)
+    member = found.select(F.col("node").alias("__u"), "root").unionByName(found.select(F.col("root").alias("__u"), "root").distinct())
+    ranked = materialize(first.select("__u", order.alias("at")).join(member, "__u"))
+    best = ranked.groupBy("root").agg(F.min(F.struct("at", "__u")).alias("best"))
+    others = ranked.join(best, "root").where(F.col("__u") != F.col("best.__u")).select("__u")
+    return first.join(others, "__u", "left_anti").select(*docs.columns)
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
