@@ -80,3 +80,11 @@ def test_runs_are_never_parted():
     assert np.array_equal(np.concatenate(parts)[:, 1], np.arange(500))
     assert all(p[-1, 0] < q[0, 0] for p, q in zip(parts, parts[1:], strict=False))
     assert collections.Counter(np.concatenate(parts)[:, 0]) == collections.Counter(s)
+
+
+def test_unlike_texts_that_share_an_id_stay(spark):
+    r = random.Random(5)
+    a, b, c = (words(r, 80) for _ in range(3))
+    rows = [(5, a), (5, b), (3, edited(r, b, 1)), (5, c), (5, a)]
+    out = sh.keep_first(table(spark, [(i, " ".join(t)) for i, t in rows])).collect()
+    assert sorted((x.doc_id, x.text) for x in out) == sorted((i, " ".join(t)) for i, t in (rows[0], rows[2], rows[3]))
