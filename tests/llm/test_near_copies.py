@@ -88,3 +88,11 @@ def test_unlike_texts_that_share_an_id_stay(spark):
     rows = [(5, a), (5, b), (3, edited(r, b, 1)), (5, c), (5, a)]
     out = sh.keep_first(table(spark, [(i, " ".join(t)) for i, t in rows])).collect()
     assert sorted((x.doc_id, x.text) for x in out) == sorted((i, " ".join(t)) for i, t in (rows[0], rows[2], rows[3]))
+
+
+def test_one_of_each_class_without_ids_stays(spark):
+    r = random.Random(6)
+    a, b = words(r, 150), words(r, 150)
+    rows = [(None, a), (None, edited(r, a, 1)), (None, edited(r, a, 2)), (None, b), (2, edited(r, b, 1))]
+    out = sh.keep_first(table(spark, [(i, " ".join(t)) for i, t in rows])).collect()
+    assert sorted(str(x.doc_id) for x in out) == ["2", "None"]
