@@ -30,7 +30,10 @@ THRESHOLD, MASK = 0.5, "[SECRET]"
 TREES, DEPTH, LEAF, FINDINGS, SEED = 40, 9, 2, 3000, 5
 
 _RUN = re.compile(r"[A-Za-z0-9_+/=.\-]{16,}")
-_ASSIGNED = re.compile(r"[:=]\s{0,3}[\"'`]?([^\s\"'`<>]{8,})")
+_ASSIGNS = re.compile(r"[:=]\s{0,3}[\"'`]?(?=[^\s\"'`<>]{8})")
+_VALUE = re.compile(r"[^\s\"'`<>]+")
+#: Where a value in a query or connection string ends: another assignment follows.
+_NEXT = re.compile(r"[&;,](?=[\w.\-%\[\]]{1,40}[:=])")
 _NAME = re.compile(r"(?:token|secret|passw(?:or)?d|passwd|pwd|api[_-]?key|access[_-]?key|credentials?|auth|bearer|private[_-]?key)[\w\-]{0,12}[\"'`]?\s{0,3}$", re.I)
 _NAME_REACH, _NEAR = 48, 40
 _KNOWN = re.compile(r"AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[0-9A-Za-z_\-]{35}|[sr]k_(?:live|test)_[0-9A-Za-z]{16,}|eyJ[\w\-]{10,}\.[\w\-]{10,}\.[\w\-]{10,}")
@@ -50,12 +53,15 @@ DICTIONARY = (
 _WORDS = {n: {w for w in DICTIONARY if len(w) == n} for n in range(3, 9)}
 
 
-def candidates(text: str) -> list[tuple[int, int, str]]:
+def candidates(text: str, start: int = 0, stop: int | None = None) -> list[tuple[int, int, str]]:
     """(start, end, kind), in order, none overlapping another.
 
-    Key blocks win over assigned values, those over known formats, those over
-    plain runs.
+    Key blocks win over assigned values, outer ones over those inside them,
+    those over known formats, those over plain runs.  With ``start`` and
+    ``stop``: what an assigned value holds besides itself.
     """
+    whole = (start, stop)
+    stop = len(text) if stop is None else stop
     found: list[tuple[int, int, str]] = []
 
     def add(a: int, z: int, kind: str) -> None:
@@ -64,21 +70,26 @@ def candidates(text: str) -> list[tuple[int, int, str]]:
             found.insert(i, (a, z, kind))
 
     if "-----BEGIN" in text:
-        for m in _KEY_BLOCK.finditer(text):
+        for m in _KEY_BLOCK.finditer(text, start, stop):
             add(*m.span(), "key block")
-    for m in _ASSIGNED.finditer(text):
-        if _NAME.search(text, max(0, m.start() - _NAME_REACH), m.start()):
-            value = m.group(1).rstrip(".,;:!?)]}")
-            if len(value) >= 8:
-                add(m.start(1), m.start(1) + len(value), "assigned")
-    for m in _RUN.finditer(text):
+    past = start
+    for m in _ASSIGNS.finditer(text, start, stop):
+        a = m.end()
+        if a >= past and _NAME.search(text, max(start, m.start() - _NAME_REACH), m.start()):
+            z = _VALUE.match(text, a, stop).end()
+            cut = _NEXT.search(text, a, z)
+            z = a + len(text[a : cut.start() if cut else z].rstrip(".,;:!?)]}"))
+            if z - a >= 8:
+                add(a, z, "assigned")
+                past = z
+    for m in _RUN.finditer(text, start, stop):
         run = m.group()
         if known := list(_KNOWN.finditer(run)):
             for k in known:
                 add(m.start() + k.start(), m.start() + k.end(), "known format")
         elif any(c.isdigit() for c in run):
             run = run.rstrip(".=-/") if not run.endswith("==") else run
-            if len(run) >= 16:
+            if len(run) >= 16 and (m.start(), m.start() + len(run)) != whole:
                 add(m.start(), m.start() + len(run), "run")
     return found
 
@@ -221,12 +232,21 @@ def forest() -> Forest:
 
 
 def findings(text: str, model: Forest) -> list[tuple[int, int, str, float]]:
-    """(start, end, kind, score) of each candidate; a score of at least ``THRESHOLD`` makes it a secret."""
-    found = candidates(text)
-    if not found:
-        return []
-    scores = model.score(np.array([describe(text, *c) for c in found]))
-    return [(*c, float(s)) for c, s in zip(found, scores, strict=True)]
+    """(start, end, kind, score) of each candidate; a score of at least ``THRESHOLD`` makes it a secret.
+
+    An assigned value that is no secret gives way to the candidates inside it.
+    """
+    out, found = [], candidates(text)
+    while found:
+        scores = model.score(np.array([describe(text, *c) for c in found]))
+        inside = []
+        for c, s in zip(found, scores, strict=True):
+            held = candidates(text, c[0], c[1]) if c[2] == "assigned" and s < THRESHOLD else []
+            inside += held
+            if not held:
+                out.append((*c, float(s)))
+        found = inside
+    return sorted(out)
 
 
 def scan(docs: DataFrame) -> DataFrame:
