@@ -111,7 +111,7 @@ def _kinds(value: str) -> list[int]:
 
 def describe(text: str, start: int, end: int, kind: str) -> list[float]:
     """The features of one candidate."""
-    v = text[start:end][:512]
+    v = text[start:end]
     n, k = len(v), _kinds(v)
     share = [k.count(i) / n for i in range(4)]
     moves = [0] * 16
