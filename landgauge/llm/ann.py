@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from landgauge.llm.common import materialize, table
 
 #: Rows expected in a bucket, at most; a query's candidates over the square root of the rows; tables over its fourth root, and the most.
-BUCKET_ROWS, REACH, SPREAD, MOST_TABLES, SEED = 4, 32, 4, 64, 11
+BUCKET_ROWS, REACH, SPREAD, MOST_TABLES, SEED = 4, 24, 4, 64, 11
 #: Vectors of a block, and queries that meet one in a task; vectors hashed at a time.
 BLOCK_ROWS, CHUNK_ROWS, SLAB = 4096, 4096, 2048
 NEAREST, EVERY = 10, 100
