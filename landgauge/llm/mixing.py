@@ -3,11 +3,11 @@
 A source's target over its size is the number of times each of its documents
 is taken: the whole part for certain, the rest as an inclusion probability.
 The flight phase of the cube method moves these probabilities through the
-null space of the balancing constraints (token and document totals), three
-documents at a time, until each block has at most two undecided ones; these
-are gathered into fewer blocks and fly again, until each source has a handful
-left, for which the landing drops the document and then the token constraint and
-reverses a few choices where that brings the tokens nearer to the target.
+null space of the balancing constraints (token and document totals): the
+largest undecided document is moved against all others of its block together,
+until each block has at most two undecided ones, its smallest; these are
+gathered into fewer blocks and fly again, until each source has at most two
+left.  For those the landing drops the document and then the token constraint.
 """
 
 from __future__ import annotations
@@ -20,13 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landgauge.llm.common import WORD, materialize, table, text_of
+from landgauge.llm.common import WORD, materialize, row_key, table, text_of
 
 WEIGHTS = (3, 1, 2)
 #: Words taken over all words; times a source may be repeated; documents in a block.
-SHARE, MOST, BLOCK_ROWS, SEED = 1.5, 2.0, 1024, 7
-#: Choices reversed after the landing, at most.
-REPAIRS = 16
+SHARE, MOST, BLOCK_ROWS, SEED = 1.5, 2.0, 512, 7
+#: Copies of one row that are listed at a time.
+COPIES = 4096
 _SURE = 1e-9
 
 
@@ -52,65 +52,65 @@ def targets(sizes: dict[str | None, int], weights: tuple = WEIGHTS, share: float
     return out
 
 
+def _direction(p: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+    """Units and a direction that moves the first of them while their number and tokens stay; None for under three units."""
+    units = np.arange(len(p))
+    while len(units) >= 3:
+        rest = units[1:]
+        # Units near 0 or 1 move least, so the first one arrives there before them.
+        w, s = p[rest] * (1 - p[rest]), size[rest] / size[units].max()
+        a, b, c, first = w.sum(), w @ s, w @ (s * s), size[units[0]] / size[units].max()
+        det = a * c - b * b
+        if det > 1e-12 * a * c:
+            return units, np.r_[1.0, w * (b * first - c + (b - a * first) * s) / det]
+        if size[units[0]] == size[rest[0]]:
+            return units, np.r_[1.0, -w / a]
+        units = rest  # all others are of one size, so the first cannot move
+    return None
+
+
 def flight(p: np.ndarray, size: np.ndarray, rng: random.Random, landing: bool) -> np.ndarray:
     """Move ``p`` keeping its sum and that of p times size, until decided.
 
-    At most two entries stay strictly between 0 and 1; with ``landing`` none.
+    At most two entries stay strictly between 0 and 1; with ``landing`` none:
+    the last two keep the token total alone, the last one neither.
     """
-    sizes, wanted = size.astype(float), float(p @ size)
-    p, size = p.tolist(), sizes.tolist()
-
-    def move(units: list[int], u: tuple) -> None:
-        up = min(((1 - p[k]) / d if d > 0 else p[k] / -d) for k, d in zip(units, u, strict=True) if d)
-        down = min((p[k] / d if d > 0 else (1 - p[k]) / -d) for k, d in zip(units, u, strict=True) if d)
-        step = up if rng.random() * (up + down) < down else -down
-        for k, d in zip(units, u, strict=True):
-            p[k] += step * d
-            if p[k] < _SURE:
-                p[k] = 0.0
-            elif p[k] > 1 - _SURE:
-                p[k] = 1.0
-
-    live: list[int] = []
-    for k in range(len(p)):
-        if not 0 < p[k] < 1:
-            continue
-        live.append(k)
-        while len(live) == 3:
-            a, b, c = (size[x] for x in live)
-            u = (c - b, a - c, b - a)
-            top = max(map(abs, u))
-            move(live, tuple(x / top for x in u) if top else (1.0, -1.0, 0.0))
-            live = [x for x in live if 0 < p[x] < 1]
-    while landing and live:
-        if len(live) == 2:  # keep the token total alone
-            a, b = size[live[0]], size[live[1]]
-            top = max(a, b)
-            move(live, (b / top, -a / top) if min(a, b) > 0 else (1.0, 0.0) if a <= b else (0.0, 1.0))
+    p, size = p.astype(float), size.astype(float)
+    live = np.flatnonzero((p > 0) & (p < 1))
+    live = live[np.argsort(-size[live], kind="stable")]
+    while len(live):
+        found = _direction(p[live], size[live])
+        if found is not None:
+            units, d = found
+        elif not landing:
+            break
+        elif len(live) == 2:
+            units, d = np.arange(2), np.array([size[live[1]], -size[live[0]]]) / size[live[0]]
         else:
-            move(live, (1.0,))
-        live = [x for x in live if 0 < p[x] < 1]
-    out = np.array(p)
-    if landing and len(out):
-        # What rounding the last few has added to the tokens is taken back: the one choice whose reversal brings the total nearest is reversed, as long as that helps.
-        for _ in range(REPAIRS):
-            off = out @ sizes - wanted
-            after = np.abs(off + sizes * (1 - 2 * out))
-            k = int(after.argmin())
-            if after[k] >= abs(off):
-                break
-            out[k] = 1 - out[k]
-    return out
+            units, d = np.arange(1), np.ones(1)
+        at = live[units]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            room = np.where(d > 0, (1 - p[at]) / d, np.where(d < 0, -p[at] / d, np.inf))
+            back = np.where(d > 0, p[at] / d, np.where(d < 0, (p[at] - 1) / d, np.inf))
+        up, down = room.min(), back.min()
+        forward = rng.random() * (up + down) < down
+        hit = int((room if forward else back).argmin())
+        p[at] += (up if forward else -down) * d
+        p[at[hit]] = float((d[hit] > 0) == forward)
+        p[at] = np.where(p[at] < _SURE, 0.0, np.where(p[at] > 1 - _SURE, 1.0, p[at]))
+        live = live[(p[live] > 0) & (p[live] < 1)]
+    return p
 
 
 def _sized(docs: DataFrame) -> DataFrame:
-    text = text_of()
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"), F.xxhash64("doc_id", text).alias("h"))
+    """Each distinct row once, with the number of its copies."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.regexp_count(text_of(), F.lit(WORD)).cast("long").alias("size"), *row_key(docs, "h1", "h2"))
+    return rows.groupBy(*rows.columns).agg(F.count("*").alias("copies"))
 
 
 def _flight_of(seed: str, landing: bool):
     def fly(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by([("size", "descending"), ("h", "ascending"), ("doc_id", "ascending")])
+        rows = rows.sort_by([("size", "descending"), ("h1", "ascending"), ("h2", "ascending"), ("k", "ascending")])
         rng = random.Random(f"{seed} {rows['source'][0].as_py()} {rows['block'][0].as_py()}")
         p = flight(rows["p"].to_numpy(), rows["size"].to_numpy(), rng, landing)
         return rows.drop_columns(["p", "block", "blocks"]).append_column("p", pa.array(p))
@@ -119,41 +119,44 @@ def _flight_of(seed: str, landing: bool):
 
 
 def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = SEED) -> DataFrame:
-    """doc_id, source, h, size, source_size, target, taken of every row.
-
-    ``taken`` is the row's size times the times it is taken; ``h`` hashes id
-    and text.  Null texts have size 0 and are never taken; a null source is a
-    source of its own, the last; repeated rows are rows of their own; an
-    empty table gives no rows.  Choices follow from the rows alone, so reruns
-    agree.
+    """doc_id, source, h1, h2, k, size, source_size, target, taken of every row.
+
+    ``taken`` is the row's size times the times it is taken; ``h1`` and ``h2``
+    hash all columns, ``k`` numbers the copies of one row.  Null texts have
+    size 0 and are never taken; a null source is a source of its own, the
+    last; copies of one row are dealt over the blocks like other rows; very
+    long texts are documents like others, decided first; an empty table gives
+    no rows; extra columns count towards a row's identity only.  Choices
+    follow from the rows alone, so reruns agree.  The driver holds a row a
+    source.
     """
     spark = docs.sparkSession
     rows = materialize(_sized(docs))
-    # One row a source: sources, not documents, come to the driver.
-    totals = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n")).collect()
+    totals = rows.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("source_size"), F.sum("copies").alias("n")).collect()
     sizes = {r["source"]: r["source_size"] for r in totals}
     goal = targets(sizes, weights, share, most)
     plan = [(r["source"], r["source_size"], float(goal[r["source"]]), goal[r["source"]] / r["source_size"] if r["source_size"] else 0.0, max(1, math.ceil(r["n"] / BLOCK_ROWS))) for r in totals]
+    names = ["doc_id", "source", "h1", "h2", "k", "size", "source_size", "target", "whole", "p"]
+    schema = "doc_id long, source string, h1 long, h2 long, k long, size long, source_size long, target double, whole long, p double"
     if not plan:
-        return rows.select("doc_id", "source", "h", "size", F.lit(0).cast("long").alias("source_size"), F.lit(0.0).alias("target"), F.lit(0).cast("long").alias("taken"))
+        return spark.createDataFrame([], schema).select(*names[:8], F.lit(0).cast("long").alias("taken"))
     plan_rows = spark.createDataFrame(plan, "__s string, source_size long, target double, times double, blocks int")
+    # Copies are listed in stretches, so that no array grows with them.
+    rows = rows.withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(COPIES).cast("long"))))
+    rows = rows.withColumn("k", F.explode(F.sequence(F.col("at"), F.least(F.col("copies"), F.col("at") + COPIES) - 1))).drop("at", "copies")
     rows = rows.join(plan_rows, F.col("source").eqNullSafe(F.col("__s"))).drop("__s")
     rows = rows.withColumn("whole", F.floor("times")).withColumn("p", F.col("times") - F.col("whole"))
     rows = rows.withColumn("p", F.when((F.col("size") == 0) | (F.col("p") < _SURE), 0.0).when(F.col("p") > 1 - _SURE, 1.0).otherwise(F.col("p")))
-    names = ["doc_id", "source", "h", "size", "source_size", "target", "whole", "p"]
-    schema = "doc_id long, source string, h long, size long, source_size long, target double, whole long, p double"
     decided = [rows.where("p in (0, 1)").select(*names)]
     pool = rows.where("p > 0 and p < 1")
     most_blocks, turn = max(r[4] for r in plan), 0
     while True:
         landing = most_blocks == 1
-
-        blocks = F.pmod(F.xxhash64("h", F.lit(turn)), F.col("blocks")).cast("int")
-        flown = pool.select(*names, "blocks").withColumn("block", blocks).groupBy("source", "block").applyInArrow(_flight_of(f"{seed} {turn}", landing), schema)
+        blocks = F.pmod(F.xxhash64("h1", "h2", "k", F.lit(turn)), F.col("blocks")).cast("int")
+        flown = materialize(pool.select(*names, "blocks").withColumn("block", blocks).groupBy("source", "block").applyInArrow(_flight_of(f"{seed} {turn}", landing), schema))
         if landing:
             decided.append(flown)
             break
-        flown = materialize(flown)
         decided.append(flown.where("p in (0, 1)"))
         # At most two a block are left.
         turn, most_blocks = turn + 1, math.ceil(2 * most_blocks / BLOCK_ROWS)
@@ -161,19 +164,28 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: f
     out = decided[0]
     for d in decided[1:]:
         out = out.unionByName(d)
-    taken = (F.col("size") * (F.col("whole") + F.col("p"))).cast("long")
-    return out.select("doc_id", "source", "h", "size", "source_size", "target", taken.alias("taken"))
+    return out.select(*names[:8], (F.col("size") * (F.col("whole") + F.col("p"))).cast("long").alias("taken"))
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs``, each as many times as the mix takes it."""
-    times = mix(docs, **options).where("taken > 0").selectExpr("doc_id as __id", "h as __h", "int(taken div size) as __times")
-    # Repeated rows are told apart by their number among equals.
-    times = times.withColumn("__k", F.expr("row_number() over (partition by __id, __h order by __times desc)"))
-    rows = docs.withColumn("__h2", F.xxhash64(F.col("doc_id").cast("long"), text_of()))
-    rows = rows.withColumn("__k2", F.expr("row_number() over (partition by doc_id, __h2 order by source)"))
-    out = rows.join(times, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__h2") == F.col("__h")) & (F.col("__k2") == F.col("__k")))
-    return out.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col("__times")))).select(*docs.columns)
+    """The rows of ``docs``, each as many times as the mix takes it.
+
+    Copies of one row are the same in every column, so their times are added
+    and one of them stands for all.  Choices are made on hashes; texts are
+    dealt once, to be joined with them (rows that have copies are reduced to
+    one before).  Null texts and empty ones are never taken; null ids and
+    sources, repeated rows and extra columns are kept as they are; an empty
+    table gives no rows.
+    """
+    times = mix(docs, **options).groupBy("h1", "h2").agg(F.sum(F.when(F.col("size") > 0, F.expr("taken div size")).otherwise(0)).alias("__times"), F.count("*").alias("__n"))
+    times = materialize(times.withColumnsRenamed({"h1": "__h1", "h2": "__h2"}).where("__times > 0"))
+    keys = ["__h1", "__h2"]
+    rows = docs.select("*", *row_key(docs, *keys))
+    # A merge at every size: how the texts are dealt does not depend on the size of the choices.
+    single = rows.join(times.where("__n = 1").hint("merge"), keys)
+    several = rows.join(times.where("__n > 1").select(*keys), keys, "left_semi").dropDuplicates(keys).join(times.where("__n > 1"), keys)
+    out = single.unionByName(several)
+    return out.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col("__times").cast("int")))).select(*docs.columns)
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
