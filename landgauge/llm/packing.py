@@ -12,54 +12,97 @@ dealt anew over fewer partitions and packed again, as long as that saves bins.
 from __future__ import annotations
 
 import functools
+import itertools
+import json
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landgauge.llm.common import materialize, table, text_of
 
 CAPACITY, END = 1024, 2
-#: Pieces packed by one task at a time, and the most rounds of exchange.
-PART_ROWS, ROUNDS = 8192, 4
-VOCABULARY, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
+#: Pieces packed by one task at a time.
+PART_ROWS = 8192
+VOCABULARY = "byte_bpe_50k.json"
+#: Distinct words that a Python worker remembers, the longest such word, texts encoded at a time, and words of one call.
+MEMO_WORDS, MEMO_CHARS, SLAB, LINES = 1_000_000, 64, 1024, 200
+#: White space of any library, and format characters next to which no text is cut.
+_WHITE = r"[\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200d}\x{2028}\x{2029}\x{202f}\x{205f}\x{2060}\x{3000}\x{feff}]"
 
 
 class Encoder:
     """Ids as ``tokenizers`` gives them, without added special tokens.
 
-    The same vocabulary as ranks is several times as fast; it takes texts
-    whose characters both libraries are sure to split alike.
+    The library's pattern takes a space only as the first character of what
+    follows it, and white space before anything else alone.  So where one
+    space or line feed stands between two characters that are no white space,
+    a text may be cut before it, and the parts have the ids of the whole.
+    Each distinct part goes to the library once, as long as the memo holds
+    it; texts where white space stands together, or at an end, go whole.
     """
 
-    #: Latin, general punctuation; others go to the library itself.
-    _ODD = r"[^\x00-\x1b\x20-\x84\x86-ɏ‐-‧‰-⁞€]"
-
-    def __init__(self, path: str, ranks: str | None):
-        import re
-
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.odd, self.fast = re.compile(self._ODD), None
-        if ranks:
-            import base64
-
-            import public_tokenizers
-            import tiktoken
-
-            with open(ranks, "rb") as f:
-                table_ = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-            self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table_, special_tokens={})
+        given = json.loads(self.library.to_str())
+        before = given["pre_tokenizer"] or {}
+        special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.feed = self._whole("\n")
+        #: Whether texts may be cut as above; lines of one call are told apart by the id of the line feed.
+        self.separable = given["normalizer"] is None and before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space", True) and len(self.feed) == 1
+        self.together = "|".join([rf"{_WHITE}{{2}}", rf"\A{_WHITE}", rf"{_WHITE}\z", r"\x{0}", *map(re.escape, special)])
+        self.memo: dict[str, list[int]] = {}
+
+    def _whole(self, text: str) -> list[int]:
+        return self.library.encode(text, add_special_tokens=False).ids
+
+    def _learn(self, parts: list[str]) -> None:
+        """Parts start with NUL at the start of a text, with a line feed after one, else after a space."""
+        for at in range(0, len(parts), LINES):
+            some = parts[at : at + LINES]
+            ids = self._whole("\n".join(p[1:] if p[0] in "\0\n" else " " + p for p in some))
+            a = 0
+            for p, z in zip(some, [*(i for i, x in enumerate(ids) if x == self.feed[0]), len(ids)], strict=True):
+                self.memo[p] = [*self.feed, *ids[a:z]] if p[0] == "\n" else ids[a:z]
+                a = z + 1
+
+    def many(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text."""
+        whole = pc.match_substring_regex(texts, self.together).to_numpy(zero_copy_only=False) if self.separable else np.ones(len(texts), bool)
+        out: list = [None] * len(texts)
+        for i in np.flatnonzero(whole).tolist():
+            out[i] = np.array(self._whole(texts[i].as_py()), "<u4")
+        cut = np.flatnonzero(~whole)
+        if not len(cut):
+            return out
+        lists = pc.split_pattern(pc.binary_join_element_wise("\0", pc.replace_substring(texts.take(pa.array(cut)), "\n", " \n"), ""), " ")
+        coded = lists.flatten().dictionary_encode()
+        parts, index = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        if len(self.memo) > MEMO_WORDS:
+            self.memo.clear()
+        self._learn([p for p in parts if p not in self.memo])
+        known = [self.memo[p] for p in parts]
+        for p in parts:
+            if len(p) > MEMO_CHARS:
+                del self.memo[p]
+        n = np.fromiter(map(len, known), np.int64, len(known))
+        flat, starts = np.fromiter(itertools.chain.from_iterable(known), "<u4", int(n.sum())), np.cumsum(n) - n
+        ends = np.cumsum(n[index])
+        ids = flat[np.repeat(starts[index] - ends + n[index], n[index]) + np.arange(ends[-1])]
+        bounds = np.r_[0, ends][lists.offsets.to_numpy() - lists.offsets[0].as_py()].tolist()
+        for i, a, z in zip(cut.tolist(), bounds, bounds[1:], strict=False):
+            out[i] = ids[a:z]
+        return out
 
     def ids(self, text: str) -> np.ndarray:
-        if self.fast is None or self.odd.search(text) or any(s in text for s in self.special):
-            return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
-        return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False)
+        return self.many(pa.array([text], pa.string()))[0]
 
 
 @functools.lru_cache(maxsize=2)
@@ -67,8 +110,8 @@ def encoder(path: str | None = None) -> Encoder:
     if path is None:
         import public_tokenizers
 
-        return Encoder(public_tokenizers.path(VOCABULARY), public_tokenizers.path(RANKS))
-    return Encoder(path, None)
+        path = public_tokenizers.path(VOCABULARY)
+    return Encoder(path)
 
 
 def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
@@ -78,8 +121,9 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -
         e = encoder(path)
         for b in batches:
             of, piece, start, length, crc = [], [], [], [], []
-            for i, text in enumerate(b.column(1).to_pylist()):
-                ids = np.append(e.ids(text), np.uint32(END)).astype("<u4")
+            texts = b.column(1)
+            for i, ids in enumerate(x for at in range(0, len(texts), SLAB) for x in e.many(texts.slice(at, SLAB))):
+                ids = np.append(ids, np.uint32(END)).astype("<u4")
                 n = len(ids)
                 cuts = [0, *range(n % capacity or capacity, n + 1, capacity)] if n > capacity else [0, n]
                 data = memoryview(ids.tobytes())
@@ -163,28 +207,28 @@ def _packed(rows: DataFrame, n: int, turn: int, capacity: int) -> DataFrame:
     return dealt.groupBy("part").applyInArrow(run, _ROW + ", sequence_id long, offset long, open boolean")
 
 
-def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, rounds: int = ROUNDS) -> DataFrame:
+def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset of each piece.
 
     Null texts count as empty (their end token alone); null ids stay null;
-    repeated rows are packed once each; an empty table gives no rows; other
-    columns are not read.
+    repeated rows are packed once each; very long texts are cut into pieces,
+    all of which are packed; an empty table gives no rows; other columns are
+    not read.  Rounds go on as long as one saves a sequence.
     """
     rows = materialize(pieces(docs, path, capacity).withColumn("uid", F.monotonically_increasing_id()))
     whole = rows.where(F.col("length") == capacity).withColumns({"sequence_id": -1 - F.col("uid"), "offset": F.lit(0).cast("long")})
     done = [whole]
     pool = rows.where(F.col("length") < capacity)
-    n = pool.count()
-    current = None
-    for turn in range(rounds if n else 0):
+    n, turn = pool.count(), 0
+    current, before = None, None
+    while n:
         new = materialize(_packed(pool, n, turn, capacity))
-        if current is not None and _bins(new) >= _bins(current):
+        used = _bins(new)
+        if before is not None and used >= before:
             break
         done.append(new.where("not open"))
         current = new.where("open")
-        pool, n = current, current.count()
-        if not n:
-            break
+        pool, n, before, turn = current, current.count(), _bins(current), turn + 1
     if current is not None:
         done.append(current)
     names = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
