@@ -1,14 +1,20 @@
 """Document fingerprints: an invertible Bloom lookup sketch, in SQL functions alone.
 
-A text's paragraphs (lines, cut after ``PARAGRAPH`` code points, in the first
-``HEAD`` code points of a text after ``HEAD_PARAGRAPH``, so that short texts have
-several) are hashed to 64-bit digests; the fingerprint is a table of three times ``BASE`` cells, each
-holding the number, the XOR of the digests and the XOR of their check hashes
-of those that fall into it.  Subtracting two tables cancels what two texts
-share; peeling cells that hold one digest recovers the rest.  Where a table
-is too small for that, larger ones take its place: the digests are dealt into
-buckets by their own bits, each with a table of its own, and a bucket that
-still fails is retried with four times the cells, and again.
+A text is cut into paragraphs: at line feeds, and within a line after the
+first sentence end past ``LEAST`` code points, so that an insertion moves no
+later cut.  Each paragraph, with its number among equal ones, is a 64-bit
+digest.  A sketch of size m has three tables of m cells; a digest stands in
+one cell of each, and a cell holds the number, the XOR of the digests and the
+XOR of their check hashes.  Sketches are linear: subtracting one from another
+cancels what two texts share, and peeling cells that hold one digest recovers
+the rest.
+
+A text's fingerprint is its sketch at the first size, from one that follows
+from its number of paragraphs on, doubling, at which it peels by itself.  So
+a fingerprint always tells its digests, and two fingerprints always tell how
+alike they are: their difference is taken at twice the larger size, and at
+four times the size after each failure.  Digests are rows, grouped by text:
+cells are sums, and a round of peeling is one more sum over the cells left.
 """
 
 from __future__ import annotations
@@ -17,81 +23,80 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from landgauge.llm.common import table, text_of
+from landgauge.llm.common import materialize, table, text_of
 
-PARAGRAPH, HEAD, HEAD_PARAGRAPH, BASE = 192, 1024, 96, 4
-#: Digests of a side in a bucket, on average; cells of a bucket's tables (a third of them each) by attempt.
-BUCKET, ATTEMPTS, ROUNDS = 4, (8, 32, 128), 10
+#: Code points after which a sentence end cuts, and after which a line without any is cut.
+LEAST, MOST = 64, 512
+#: Cells of a table for each digest and at least, steps of peeling (a table each), digests of a task.
+LOAD, FLOOR, STEPS, TASK_DIGESTS = 0.75, 8, 15, 400_000
 #: Documents of one group of neighbours, and the most groups (so that their heads have a bounded size).
-GROUP_ROWS, MOST_GROUPS, COARSE, NAMELESS = 512, 65_536, 256, 64
+GROUP_ROWS, MOST_GROUPS, COARSE, NAMELESS = 512, 65_536, 128, 64
 
+_ENDS = ".!?…。！？"
+PARAGRAPH = rf"[^\n]{{{LEAST},{MOST}}}?(?:[{_ENDS}]+[ \t]*\n*|\n+|$(?!\n))|[^\n]{{1,{LEAST - 1}}}(?:\n+|$(?!\n))|\n+|[^\n]{{1,{MOST}}}"
 
-def digests(text: str) -> str:
-    """SQL: the distinct paragraph digests of a text."""
-    cut = lambda t, n: f"regexp_extract_all({t}, '[^\\\\n]{{1,{n}}}', 0)"
-    head, tail = cut(f"substring({text}, 1, {HEAD})", HEAD_PARAGRAPH), cut(f"substring({text}, {HEAD + 1})", PARAGRAPH)
-    return f"array_distinct(transform(concat({head}, {tail}), s -> xxhash64(s)))"
 
+def paragraphs(text: str) -> str:
+    """SQL: the hashes of a text's paragraphs, in order; no character is left out."""
+    pattern = PARAGRAPH.replace("\\", "\\\\")
+    return f"transform(regexp_extract_all({text}, '{pattern}', 0), s -> xxhash64(s))"
 
-def cells(d: str, m: int) -> str:
-    """SQL: the sketch of digests ``d``, three tables of ``m`` cells (a power of 2)."""
-    here = f"filter({d}, x -> (shiftrightunsigned(x, int(8 * (i div {m}))) & {m - 1}L) = i % {m})"
-    cell = "named_struct('n', size(s), 'k', aggregate(s, 0L, (a, x) -> a ^ x), 'q', aggregate(s, 0L, (a, x) -> a ^ xxhash64(x)))"
-    return f"transform(sequence(0, {3 * m - 1}), i -> transform(array({here}), s -> {cell})[0])"
 
+def size_of(n: str, doubled: int) -> str:
+    """SQL: cells of a table for ``n`` digests, after ``doubled`` failures."""
+    return f"bigint(pow(2, ceil(log2({LOAD} * {n} + {FLOOR})) + {doubled}))"
 
-def minus(a: str, b: str) -> str:
-    """SQL: sketch ``a`` less sketch ``b``, cell by cell."""
-    return f"zip_with({a}, {b}, (l, r) -> named_struct('n', l.n - r.n, 'k', l.k ^ r.k, 'q', l.q ^ r.q))"
 
+def _check(digest: str) -> str:
+    return f"(xxhash64({digest}, 'check') & 4294967295L)"
 
-def peeled(difference: str, m: int) -> str:
-    """SQL: how many digests the peeling of ``difference`` recovers, null if it gets stuck."""
-    pure = "array_distinct(transform(filter(t.c, y -> abs(y.n) = 1 AND y.q = xxhash64(y.k)), y -> named_struct('k', y.k, 'n', y.n)))"
-    here = f"filter(p, u -> (shiftrightunsigned(u.k, int(8 * (i div {m}))) & {m - 1}L) = i % {m})"
-    less = f"transform(t.c, (y, i) -> aggregate({here}, y, (z, u) -> named_struct('n', z.n - u.n, 'k', z.k ^ u.k, 'q', z.q ^ xxhash64(u.k))))"
-    step = f"transform(array({pure}), p -> IF(size(p) = 0, t, named_struct('c', {less}, 'd', t.d + size(p))))[0]"
-    clear = "IF(forall(t.c, y -> y.n = 0 AND y.k = 0 AND y.q = 0), t.d, NULL)"
-    return f"aggregate(sequence(1, {ROUNDS}), named_struct('c', {difference}, 'd', 0), (t, round) -> {step}, t -> {clear})"
 
+def _cell(i: str, digest: str, m: str) -> str:
+    """SQL: the number of a digest's cell, which tells its table too."""
+    return f"(shiftleft(bigint({i}), 40) | (xxhash64({digest}, int({i})) & ({m} - 1L)))"
 
-def bucket_bits(a: str, b: str) -> str:
-    """SQL: bits of a digest that tell its bucket, when ``a`` and ``b`` are compared."""
-    return f"greatest(0, int(ceil(log2(greatest(size({a}), size({b}), 1) / {BUCKET}))))"
 
+_TABLES = (0, 1, 2)
+_KEYS = ["uid", "sketch", "m", "cell"]
 
-def difference(a: str, b: str, base_a: str, base_b: str, bits: str) -> str:
-    """SQL: how many digests are in just one of ``a`` and ``b``.
 
-    ``base_a`` and ``base_b`` are the columns of their fingerprints' cells and
-    ``bits`` that of their bucket bits.  A bucket that no attempt peels (its
-    chance is under one in a billion) is compared digest by digest, so the
-    count is exact.
-    """
-    split = lambda d, shift, k: f"transform(sequence(0, shiftleft(1, {k}) - 1), g{shift} -> filter({d}, x -> (shiftrightunsigned(x, {shift}) & (shiftleft(1, {k}) - 1)) = g{shift}))"
-    buckets = lambda d: f"flatten(transform({split(d, 32, f'int({bits} div 2)')}, w -> {split('w', 44, f'int({bits} - {bits} div 2)')}))"
-    tries = ", ".join(peeled(minus(cells("v.l", m), cells("v.r", m)), m) for m in ATTEMPTS)
-    each = f"coalesce({tries}, size(array_except(v.l, v.r)) + size(array_except(v.r, v.l)))"
-    paired = f"zip_with({buckets(a)}, {buckets(b)}, (l, r) -> named_struct('l', l, 'r', r))"
-    larger = f"aggregate({paired}, 0, (total, v) -> total + {each})"
-    return f"coalesce({peeled(minus(base_a, base_b), BASE)}, {larger})"
+def cells(rows: DataFrame) -> DataFrame:
+    """The sum of ``rows`` (uid, sketch, m, cell, n, k, q): one row a cell that is not empty."""
+    out = rows.groupBy(*_KEYS).agg(F.sum("n").alias("n"), F.expr("bit_xor(k)").alias("k"), F.expr("bit_xor(q)").alias("q"))
+    return out.where("n != 0 OR k != 0 OR q != 0 OR cell < 0")
 
 
-def likeness(n_a: str, n_b: str, d: str) -> str:
-    """SQL: shared digests over all of both; texts without any are alike."""
-    return f"IF({n_a} + {n_b} = 0, 1D, ({n_a} + {n_b} - {d}) / double({n_a} + {n_b} + {d}))"
+def inserted(digests: DataFrame) -> DataFrame:
+    """Cells of ``digests`` (uid, d, and ``into``: an array of sketch, m and n, which is 1, or -1 where it is taken off)."""
+    places = f"array({', '.join(_cell(str(i), 'd', 't.m') for i in _TABLES)})"
+    rows = digests.selectExpr("uid", "d", "explode(into) AS t").selectExpr("uid", "t.sketch", "t.m", f"explode({places}) AS cell", "t.n", "d AS k", f"{_check('d')} AS q")
+    return cells(rows)
 
 
-def serial(d: str, c: str) -> str:
-    """SQL: a fingerprint as a string: the number of digests, then the cells."""
-    return f"lower(concat(size({d}), ':', concat_ws('', transform({c}, y -> concat(lpad(hex(y.n), 4, '0'), lpad(hex(y.k), 16, '0'), lpad(hex(y.q), 16, '0'))))))"
+def peeled(sketches: DataFrame, steps: int = STEPS) -> DataFrame:
+    """What is left of ``sketches`` after peeling table by table; a row with cell -1 counts what was recovered.
+
+    A digest alone in its cell is taken from its other cells.  Within one
+    table no digest is met twice, so each step is one sum.  Sketches whose
+    name is a capital are kept as they are.
+    """
+    for step in range(steps):
+        i = _TABLES[step % 3]
+        others = [j for j in _TABLES if j != i]
+        pure = f"shiftright(cell, 40) = {i} AND abs(n) = 1 AND cell = {_cell(str(i), 'k', 'm')} AND q = {_check('k')} AND lower(sketch) = sketch"
+        off = ", ".join(f"named_struct('cell', {_cell(str(j), 'k', 'm')}, 'n', -n, 'k', k, 'q', q)" for j in others)
+        moved = f"IF({pure}, array({off}, named_struct('cell', -1L, 'n', 1L, 'k', 0L, 'q', 0L)), array(named_struct('cell', cell, 'n', n, 'k', k, 'q', q)))"
+        sketches = cells(sketches.selectExpr("uid", "sketch", "m", f"inline({moved})"))
+    return sketches
 
 
 def _grouped(rows: DataFrame) -> DataFrame:
     """``rows`` with ``grp``: groups of bounded size, in the order of doc_id.
 
-    Quantiles cut the ids into coarse groups, equal widths cut those; rows
-    without an id come after all others, by a hash of their texts.
+    Quantiles cut the ids into coarse groups, equal widths cut those; an id
+    that several quantiles fall on has as many coarse groups less one, over
+    which a hash of the texts deals its rows; rows without an id come after
+    all others, by that hash.
     """
     n, low, high = rows.agg(F.count("*"), F.min("doc_id"), F.max("doc_id")).first()
     groups = max(1, min(MOST_GROUPS, -(-n // GROUP_ROWS)))
@@ -100,13 +105,17 @@ def _grouped(rows: DataFrame) -> DataFrame:
     if low is None:
         low = high = 0
     inner = rows.agg(F.percentile_approx("doc_id", [i / coarse for i in range(1, coarse)], 10_000)).first()[0] if coarse > 1 else []
-    edges = [low, *(inner or []), high + 1]
+    edges = [low, *(inner or []), high]
     bounds = F.array(*(F.lit(int(e)).cast("long") for e in edges))
-    rows = rows.withColumn("c", F.size(F.filter(F.array(*(F.lit(int(e)).cast("long") for e in edges[1:-1])), lambda e: e <= F.col("doc_id"))) if len(edges) > 2 else F.lit(0))
+    among = F.array(*(F.lit(int(e)).cast("long") for e in edges[1:-1])).cast("array<bigint>")
+    rows = rows.withColumn("c", F.size(F.filter(among, lambda e: e <= F.col("doc_id")))).withColumn("r", F.size(F.filter(among, lambda e: e == F.col("doc_id"))))
     start, end = F.get(bounds, F.col("c")).cast("double"), F.get(bounds, F.col("c") + 1).cast("double")
-    sub = F.least(F.lit(fine - 1), F.floor((F.col("doc_id") - start) / F.greatest(F.lit(1.0), end - start) * fine).cast("int"))
-    nameless = -1 - F.floor((F.col("h").cast("double") + 2.0**63) / 2.0**64 * NAMELESS).cast("int")
-    return rows.withColumn("grp", F.when(F.col("doc_id").isNull(), nameless).otherwise(F.col("c") * fine + F.greatest(F.lit(0), sub))).drop("c")
+    within = F.floor((F.col("doc_id").cast("double") - start) / F.greatest(F.lit(1.0), end - start) * fine).cast("int")
+    part = (F.col("h").cast("double") + 2.0**63) / 2.0**64
+    spread = F.col("c") * fine - 1 - F.floor(part * (F.col("r") - 1) * fine).cast("int")
+    plain = F.col("c") * fine + F.greatest(F.lit(0), F.least(F.lit(fine - 1), within))
+    nameless = -1 - coarse * fine - F.floor(part * NAMELESS).cast("int")
+    return rows.withColumn("grp", F.when(F.col("doc_id").isNull(), nameless).when(F.col("r") > 1, spread).otherwise(plain)).drop("c", "r")
 
 
 def with_next(docs: DataFrame) -> DataFrame:
@@ -119,11 +128,12 @@ def with_next(docs: DataFrame) -> DataFrame:
     before.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).withColumn("h", F.xxhash64("text"))
-    rows = _grouped(rows).withColumn("at", F.when(F.col("doc_id").isNull(), -1 - F.col("h")).otherwise(F.col("doc_id")))
-    heads = rows.groupBy("grp").agg(F.max("at").alias("at"))
+    rows = _grouped(rows).withColumn("at", F.when(F.col("doc_id").isNull(), F.lit(0).cast("long")).otherwise(F.col("doc_id")))
+    heads = rows.groupBy("grp").agg(F.max(F.struct("at", F.bitwise_not("h").alias("reversed"))).alias("head")).select("grp", "head.at", F.bitwise_not("head.reversed").alias("h"))
     down = Window.orderBy(F.desc("grp"))
-    heads = heads.select("grp", "at", F.coalesce(F.lag("grp").over(down), F.min("grp").over(Window.orderBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("also"))
-    rows = rows.join(F.broadcast(heads), ["grp", "at"], "left")
+    last = F.min("grp").over(Window.orderBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    heads = heads.select("grp", "at", "h", F.coalesce(F.lag("grp").over(down), last).alias("also"))
+    rows = rows.join(F.broadcast(heads), ["grp", "at", "h"], "left")
     own = F.struct(F.col("grp").alias("g"), F.lit(False).alias("guest"))
     rows = rows.withColumn("to", F.explode(F.when(F.col("also").isNull(), F.array(own)).otherwise(F.array(own, F.struct(F.col("also").alias("g"), F.lit(True).alias("guest"))))))
     rows = rows.select("doc_id", "text", "h", "at", "to.g", "to.guest")
@@ -131,24 +141,77 @@ def with_next(docs: DataFrame) -> DataFrame:
     return rows.withColumn("next_text", F.lead("text").over(order)).where("not guest").select("doc_id", "text", F.coalesce("next_text", "text").alias("next_text"))
 
 
+def _prepared(docs: DataFrame) -> DataFrame:
+    """One row a document: its id, length, the edited text's hash, and the paragraph hashes of the three texts."""
+    rows = with_next(docs).selectExpr("doc_id", "text", "next_text", "bigint(char_length(text)) AS n_chars")
+    third = "int(n_chars div 3)"
+    rows = rows.selectExpr("*", f"concat(substring(text, 1, int(n_chars) - {third}), substring(next_text, 1, {third})) AS edited")
+    rows = rows.selectExpr("doc_id", "n_chars", "sha2(edited, 256) AS edited_sha256", *(f"{paragraphs(t)} AS p_{k}" for k, t in (("own", "text"), ("edit", "edited"), ("next", "next_text"))))
+    return materialize(rows.withColumn("uid", F.monotonically_increasing_id()).withColumns({"twice_own": F.lit(0), "twice_edit": F.lit(0), "more": F.lit(0)}))
+
+
+def attempt(rows: DataFrame, total: int) -> DataFrame:
+    """uid, and for each sketch what peeling left of it; the fingerprints as strings.
+
+    ``a`` and ``b`` are the sketches of a text and its edited text, ``x`` and
+    ``y`` the text's less the edited and the next text's.  Documents are dealt
+    once; all sums follow that dealing.
+    """
+    spark = rows.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // TASK_DIGESTS))
+    sizes = {k: f"size(p_{k})" for k in ("own", "edit", "next")}
+    rows = rows.repartition(parts, "uid").selectExpr("uid", "p_own", "p_edit", "p_next", f"{size_of(sizes['own'], 'twice_own')} AS a", f"{size_of(sizes['edit'], 'twice_edit')} AS b", *(f"shiftleft(2L, 2 * more) * greatest({size_of(sizes['own'], '0')}, {size_of(sizes[k], '0')}) AS {s}" for s, k in (("x", "edit"), ("y", "next"))))
+    put = lambda s, m, n: f"named_struct('sketch', '{s}', 'm', {m}, 'n', {n}L)"
+    into = {"own": [put("a", "a", 1), put("A", "a", 1), put("x", "x", 1), put("y", "y", 1)], "edit": [put("b", "b", 1), put("B", "b", 1), put("x", "x", -1)], "next": [put("y", "y", -1)]}
+    listed = ", ".join(f"transform(p_{k}, e -> named_struct('of', {i}, 'e', e))" for i, k in enumerate(into))
+    one = rows.selectExpr("uid", "a", "b", "x", "y", f"inline(concat({listed}))").groupBy("uid", "of", "e", "a", "b", "x", "y").agg(F.count("*").alias("copies"))
+    places = " ".join(f"WHEN {i} THEN array({', '.join(t)})" for i, t in enumerate(into.values()))
+    digests = one.selectExpr("uid", "e", "of", "a", "b", "x", "y", "explode(sequence(1L, copies)) AS copy").selectExpr("uid", "xxhash64(e, copy) AS d", f"CASE of {places} END AS into")
+    left = peeled(inserted(digests))
+    entry = "concat(lpad(hex(shiftleft(shiftright(cell, 40), 28) | (cell & 268435455L)), 8, '0'), lpad(hex(n), 4, '0'), lpad(hex(k), 16, '0'), lpad(hex(q), 8, '0'))"
+    kept = [f"array_join(sort_array(collect_list(IF(sketch = '{s}', {entry}, NULL))), '') AS {s}_cells" for s in "AB"]
+    stuck = [f"count_if(sketch = '{s}' AND cell >= 0) AS {s}_left" for s in "abxy"]
+    apart = [f"coalesce(sum(IF(sketch = '{s}' AND cell < 0, n, 0L)), 0L) AS {s}_apart" for s in "xy"]
+    return left.groupBy("uid").agg(*map(F.expr, (*kept, *stuck, *apart)))
+
+
+def likeness(n_a: str, n_b: str, apart: str) -> str:
+    """SQL: shared digests over all of both; texts without any are alike."""
+    return f"IF({n_a} + {n_b} = 0, 1D, ({n_a} + {n_b} - {apart}) / double({n_a} + {n_b} + {apart}))"
+
+
 def fingerprinted(docs: DataFrame) -> DataFrame:
     """The fingerprints of every row, of its edited text, and their likenesses.
 
-    Null texts count as empty; a single document is its own next one; null
-    ids stay null; repeated rows follow each other; an empty table gives no
-    rows; other columns are not read.
+    A fingerprint is the number of digests, the size m, and each cell that is
+    not empty: its table and place (1 + 7 hexadecimal digits), number (4),
+    digests (16) and checks (8).  Null texts count as empty; very long texts
+    have larger sketches; a single document is its own next one; null ids
+    stay null; repeated rows follow each other; an empty table gives no rows;
+    other columns are not read.
     """
-    rows = with_next(docs).selectExpr("doc_id", "text", "next_text", "bigint(char_length(text)) AS n_chars")
-    third = "int(n_chars div 3)"
-    rows = rows.selectExpr("*", f"concat(substring(text, 1, int(n_chars) - {third}), substring(next_text, 1, {third})) AS edited")
-    kinds = {"own": "text", "edit": "edited", "next": "next_text"}
-    rows = rows.selectExpr("doc_id", "n_chars", "sha2(edited, 256) AS edited_sha256", *(f"{digests(t)} AS d_{k}" for k, t in kinds.items()))
-    rows = rows.selectExpr("*", *(f"{cells(f'd_{k}', BASE)} AS c_{k}" for k in kinds), *(f"{bucket_bits('d_own', f'd_{k}')} AS b_{k}" for k in ("edit", "next")))
-    prints = [f"{serial(f'd_{k}', f'c_{k}')} AS {n}fingerprint" for k, n in (("own", ""), ("edit", "edited_"))]
-    apart = [f"{difference('d_own', f'd_{k}', 'c_own', f'c_{k}', f'b_{k}')} AS apart_{k}" for k in ("edit", "next")]
-    rows = rows.selectExpr("doc_id", "n_chars", "edited_sha256", *prints, *(f"size(d_{k}) AS n_{k}" for k in kinds), *apart)
-    near = [f"{likeness('n_own', f'n_{k}', f'apart_{k}')} AS near_{n}" for k, n in (("edit", "edited"), ("next", "next"))]
-    return rows.selectExpr("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", *near)
+    prepared = _prepared(docs)
+    todo, done = prepared, []
+    while True:
+        total = todo.agg(F.sum(F.size("p_own") + F.size("p_edit") + F.size("p_next"))).first()[0]
+        if total is None:
+            break
+        names = [c for c in todo.columns if not c.startswith("p_")]
+        # Documents without any paragraph in their three texts have no cells.
+        tried = materialize(todo.join(attempt(todo, total), "uid", "left").selectExpr(*names, "size(p_own) AS n_own", "size(p_edit) AS n_edit", "size(p_next) AS n_next", "coalesce(A_cells, '') AS A_cells", "coalesce(B_cells, '') AS B_cells", *(f"coalesce({c}, 0L) AS {c}" for c in ("a_left", "b_left", "x_left", "y_left", "x_apart", "y_apart"))))
+        failed = "a_left + b_left + x_left + y_left > 0"
+        done.append(tried.where(f"NOT ({failed})"))
+        again = tried.where(failed).selectExpr("uid", "IF(a_left > 0, 1, 0) AS own", "IF(b_left > 0, 1, 0) AS edit")
+        todo = materialize(todo.join(again, "uid").selectExpr(*(c for c in todo.columns if c not in ("twice_own", "twice_edit", "more")), "twice_own + own AS twice_own", "twice_edit + edit AS twice_edit", "more + 1 AS more"))
+    schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+    if not done:
+        return docs.sparkSession.createDataFrame([], schema)
+    out = done[0]
+    for d in done[1:]:
+        out = out.unionByName(d)
+    prints = [f"lower(concat(n_{k}, ':', {size_of(f'n_{k}', f'twice_{k}')}, ':', {c}_cells)) AS {name}" for k, c, name in (("own", "A", "fingerprint"), ("edit", "B", "edited_fingerprint"))]
+    near = [f"{likeness('n_own', f'n_{k}', f'{s}_apart')} AS near_{name}" for k, s, name in (("edit", "x", "edited"), ("next", "y", "next"))]
+    return out.selectExpr("doc_id", "n_chars", "edited_sha256", *prints, *near)
 
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -106,7 +106,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> n
 
     The sample is bounded, so one task trains on it; only the weights (about
     1 MB, whatever the input) reach the driver.  Without labelled rows of
-    both kinds all weights are zero but the bias.
+    both kinds all weights are zero but the bias.  Ids with several labels or
+    texts count once, by the larger label and the first text in code point
+    order.
     """
     chosen = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
@@ -115,9 +117,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> n
         .withColumn("turn", F.xxhash64("doc_id")).orderBy("turn", "doc_id").limit(sample_rows)
     )
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).join(chosen, "doc_id")
+    # An id that many rows share counts once, by its first text; partial sums reduce it before rows meet.
+    rows = rows.groupBy("doc_id", "turn", "quality").agg(F.min("text").alias("text"))
 
     def one(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["turn", "doc_id", "text"]).drop_duplicates("doc_id")
+        rows = rows.sort_values(["turn", "doc_id"])
         return pd.DataFrame({"weights": [train(rows["text"].tolist(), rows["quality"].tolist()).tobytes()]})
 
     found = rows.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(one, "weights binary").collect()
@@ -142,8 +146,9 @@ def scored(docs: DataFrame, weights: np.ndarray, keep: list[str], name: str = "s
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted of every row of ``docs``.
 
-    Null texts are scored as empty ones (the bias alone); null ids stay null
-    and are not held out; repeated rows and other columns do no harm.
+    Null texts are scored as empty ones (the bias alone); very long texts are
+    scored whole; null ids stay null and are not held out; repeated rows give
+    repeated results; an empty table gives no rows; other columns are not read.
     """
     ids = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
     out = scored(ids, fit(docs, labels), ["doc_id"])

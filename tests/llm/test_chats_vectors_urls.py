@@ -102,26 +102,61 @@ def brute(rows, every=100, nearest=10):
     return out
 
 
-@pytest.mark.parametrize("bucket_rows", [2048, 1])
-def test_recall_and_exact_scores(spark, monkeypatch, bucket_rows):
-    monkeypatch.setattr(ann, "BUCKET_ROWS", bucket_rows)
+def found(spark, rows, **options):
+    got = collections.defaultdict(list)
+    for r in ann.search(spark.createDataFrame([(*r, 0) for r in rows], VECTORS), **options).collect():
+        got[r.query_id].append((r.rank, r.vec_id, r.score))
+    return {q: sorted(f) for q, f in got.items()}
+
+
+@pytest.mark.parametrize("blocks", [(4096, 4096), (256, 8)])
+def test_recall_and_exact_scores(spark, monkeypatch, blocks):
+    monkeypatch.setattr(ann, "BLOCK_ROWS", blocks[0])
+    monkeypatch.setattr(ann, "CHUNK_ROWS", blocks[1])
     x = np.random.default_rng(1).standard_normal((3000, 32)).astype(np.float32)
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     rows = [(i, v.tolist()) for i, v in enumerate(x)]
-    got = collections.defaultdict(list)
-    for r in ann.search(spark.createDataFrame([(*r, 0) for r in rows], VECTORS)).collect():
-        got[r.query_id].append((r.rank, r.vec_id, r.score))
-    want = brute(rows)
+    got, want = found(spark, rows), brute(rows)
     assert set(got) == set(want)
     hits = sum(len({v for _, v, _ in got[q]} & {i for _, i in w}) for q, w in want.items())
     assert hits / (10 * len(want)) >= 0.9
-    for q, found in got.items():
-        assert [r for r, _, _ in sorted(found)] == list(range(1, 11))
-        assert sorted(found, key=lambda f: (f[2], f[1])) == sorted(found)
-        for _, v, s in found:
+    for q, near in got.items():
+        assert [r for r, _, _ in near] == list(range(1, 11))
+        assert sorted(near, key=lambda f: (f[2], f[1])) == near
+        for _, v, s in near:
             assert s == pytest.approx(np.sqrt(((x[q].astype(float) - x[v].astype(float)) ** 2).sum()), abs=1e-12)
 
 
+def test_rows_compared_grow_slower_than_the_rows(spark):
+    compared = []
+    for n in (2000, 16_000):
+        x = np.random.default_rng(n).standard_normal((n, 64)).astype(np.float32)
+        df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], VECTORS)
+        distinct = ann.indexed(ann.valid(df), 400)
+        met = ann.candidates(distinct, n).groupBy("q").count()
+        compared.append(met.agg(F.avg("count")).first()[0])
+    assert compared[1] < 4.5 * compared[0] and compared[1] < 16_000 / 2
+
+
+def test_ties_go_to_the_smaller_id(spark):
+    axes = [(i, [float(i == k) for k in range(32)]) for i in range(32)]
+    assert [v for _, v, _ in found(spark, axes)[0]] == list(range(1, 11))
+
+
+def test_few_vectors_are_all_found(spark):
+    rows = [(i, v) for i, v in enumerate([[1.0, 0.0, 0.0], [-1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.0, -1.0, 0.0], [0.0, 0.0, 1.0], [0.0, 0.0, -1.0], [1.0, 1.0, 1.0], [-1.0, -1.0, -1.0]])]
+    assert {v for _, v, _ in found(spark, rows)[0]} == set(range(1, 8))
+    far = [(0, [1.0, 0.001 * k]) for k in range(1)] + [(i, [-1.0, 1e-5 * i]) for i in range(1, 500)]
+    assert [v for _, v, _ in found(spark, far)[0]] == [i for _, i in brute(far)[0]]
+
+
+def test_vectors_of_other_lengths_never_meet(spark):
+    rows = [(i, [1.0, float(i)]) for i in range(20)] + [(100 + i, [1.0, 2.0, float(i)]) for i in range(15)] + [(200, [1e30, 1e30]), (300, [1e-30, 1e-30])]
+    got = found(spark, rows)
+    want = {q: [i for _, i in w] for q, w in ((q, [(s, i) for s, i in brute([r for r in rows if len(r[1]) == d]).get(q, [])]) for q, d in ((0, 2), (100, 3), (200, 2), (300, 2)))}
+    assert {q: [v for _, v, _ in f] for q, f in got.items()} == want
+
+
 def test_vector_edges(spark):
     e = [1.0, 0.0, 0.0]
     rows = [(0, e), (1, e), (2, e), (3, [0.0, 1.0, 0.0]), (4, None), (5, [0.0, 0.0, 0.0]), (6, [1.0, None, 0.0]), (7, [float("nan"), 1.0, 0.0]), (8, [float("inf"), 1.0, 0.0]), (9, []), (100, [1.0, -0.0, 0.0]), (None, e), (200, None)]
@@ -141,10 +176,10 @@ def test_many_equal_vectors_cost_no_pairs(spark):
 def test_pseudo_rotations_keep_lengths():
     x = np.random.default_rng(2).standard_normal((5, 64))
     assert np.allclose(np.linalg.norm(ann._hadamard(x), axis=1), np.linalg.norm(x, axis=1))
-    h = ann.CrossPolytope(64)
-    assert (h.probes(x, 0, 0.1)[:, 0] == h.keys(x, 0)).all()
-    h = ann.CrossPolytope(64, axes=2)
-    assert (h.probes(x, 3, 0.05)[:, 0] == h.keys(x, 3)).all()
+    for bits, axes in ((1, [1]), (7, [64]), (12, [64, 16]), (15, [64, 64, 1])):
+        h = ann.CrossPolytope(64, 4, bits)
+        assert h.axes == axes and h.keys(x).max() < 2**bits
+        assert (h.probes(x, 3, 9)[:, 0] == h.keys(x)[3]).all()
 
 
 # URLs.
@@ -164,6 +199,16 @@ def test_urls_against_sql(spark):
     assert uf.judge(df.limit(0)).count() == 0
 
 
+def test_a_collision_takes_another_salt(spark, monkeypatch):
+    real = uf.key_hash
+    monkeypatch.setattr(uf, "key_hash", lambda key, salt: F.lit(7).cast("long") if salt < 2 else real(key, salt))
+    universe = spark.createDataFrame([("a",), ("b",), ("c",)], "key string")
+    salt, levels = uf.salted(universe, {"x": universe.where("key = 'a'")})
+    assert salt == 2
+    h = {r.key: r.h for r in universe.select("key", real("key", 2).alias("h")).collect()}
+    assert uf.member(levels["x"], np.array([h["a"], h["b"], h["c"]])).tolist() == [True, False, False]
+
+
 @pytest.mark.parametrize("driver_keys", [100_000, 5])
 def test_cascade_is_exact_over_its_universe(spark, monkeypatch, driver_keys):
     monkeypatch.setattr(uf, "FIRST_RATE", 0.3)
@@ -172,5 +217,5 @@ def test_cascade_is_exact_over_its_universe(spark, monkeypatch, driver_keys):
     listed = universe.where("key LIKE '%7%'")
     levels = uf.cascade(universe, listed)
     assert len(levels) > 2
-    rows = universe.select("key", F.xxhash64("key").alias("h")).collect()
+    rows = universe.select("key", uf.key_hash("key", 0).alias("h")).collect()
     assert uf.member(levels, np.array([r.h for r in rows])).tolist() == ["7" in r.key for r in rows]
