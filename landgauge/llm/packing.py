@@ -42,11 +42,16 @@ class Encoder:
     The library's pattern takes a space only as the first character of what
     follows it, and white space before anything else alone.  So where one
     space or line feed stands between two characters that are no white space,
-    a text may be cut before it, and the parts have the ids of the whole.
-    Each distinct part goes to the library once, as long as the memo holds
-    it; texts where white space stands together, or at an end, go whole.
+    a text may be cut before it, and the parts have the ids of the whole; so
+    have a part's letters and the marks at its end.  Each distinct part goes
+    to the library once, as long as the memo holds it: to its model at once if
+    it is all ASCII letters, which are one word to the pattern.  Texts where
+    white space stands together, or at an end, go whole.
     """
 
+    #: A letter in any version of Unicode, then marks to the end of a word.
+    MARKS = r"([A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}])([.,;:!?]+)( |\z)"
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
@@ -54,20 +59,30 @@ class Encoder:
         given = json.loads(self.library.to_str())
         before = given["pre_tokenizer"] or {}
         special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.feed = self._whole("\n")
+        self.feed, self.model = self._whole("\n"), self.library.model
+        #: A space as the model has it.
+        self.space = self.library.pre_tokenizer.pre_tokenize_str(" ")[0][0] if before else " "
         #: Whether texts may be cut as above; lines of one call are told apart by the id of the line feed.
         self.separable = given["normalizer"] is None and before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space", True) and len(self.feed) == 1
-        self.together = "|".join([rf"{_WHITE}{{2}}", rf"\A{_WHITE}", rf"{_WHITE}\z", r"\x{0}", *map(re.escape, special)])
+        self.together = "|".join([rf"{_WHITE}{{2}}", rf"\A{_WHITE}", rf"{_WHITE}\z", r"[\x{0}\x{1}]", *map(re.escape, special)])
         self.memo: dict[str, list[int]] = {}
 
     def _whole(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
 
     def _learn(self, parts: list[str]) -> None:
-        """Parts start with NUL at the start of a text, with a line feed after one, else after a space."""
-        for at in range(0, len(parts), LINES):
-            some = parts[at : at + LINES]
-            ids = self._whole("\n".join(p[1:] if p[0] in "\0\n" else " " + p for p in some))
+        """Parts start with NUL at the start of a text, with a line feed after one, with SOH after letters, else after a space."""
+        other = []
+        for p in parts:
+            plain = p[1:] if p[0] in "\0\1\n" else p
+            if plain.isascii() and plain.isalpha():
+                ids = [t.id for t in self.model.tokenize(plain if len(plain) < len(p) else self.space + plain)]
+                self.memo[p] = [*self.feed, *ids] if p[0] == "\n" else ids
+            else:
+                other.append(p)
+        for at in range(0, len(other), LINES):
+            some = other[at : at + LINES]
+            ids = self._whole("\n".join(p[1:] if p[0] in "\0\1\n" else " " + p for p in some))
             a = 0
             for p, z in zip(some, [*(i for i, x in enumerate(ids) if x == self.feed[0]), len(ids)], strict=True):
                 self.memo[p] = [*self.feed, *ids[a:z]] if p[0] == "\n" else ids[a:z]
@@ -82,7 +97,8 @@ class Encoder:
         cut = np.flatnonzero(~whole)
         if not len(cut):
             return out
-        lists = pc.split_pattern(pc.binary_join_element_wise("\0", pc.replace_substring(texts.take(pa.array(cut)), "\n", " \n"), ""), " ")
+        spaced = pc.replace_substring_regex(pc.replace_substring(texts.take(pa.array(cut)), "\n", " \n"), self.MARKS, "\\1 \1\\2\\3")
+        lists = pc.split_pattern(pc.binary_join_element_wise("\0", spaced, ""), " ")
         coded = lists.flatten().dictionary_encode()
         parts, index = coded.dictionary.to_pylist(), coded.indices.to_numpy()
         if len(self.memo) > MEMO_WORDS:
