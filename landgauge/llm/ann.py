@@ -7,7 +7,7 @@ holds a handful of vectors at any size of the index.  The index is keys and
 row numbers only.  Queries probe a stated number of keys in each table, the
 likeliest first; what they collect is reranked by exact distances of the
 original vectors in double precision, block by block.  The rows that a query
-is compared with grow as the square root of the rows.
+is compared with grow as a power of the rows well under 1.
 """
 
 from __future__ import annotations
@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from landgauge.llm.common import materialize, table
 
-#: Rows expected in a bucket, at most; a query's candidates over the square root of the rows; tables over its fourth root, and the most.
-BUCKET_ROWS, REACH, SPREAD, MOST_TABLES, SEED = 4, 24, 4, 64, 11
+#: Rows expected in a bucket, at most; a query's candidates: REACH times the POWER of the rows; tables over the fourth root, and the most.
+BUCKET_ROWS, REACH, POWER, SPREAD, MOST_TABLES, SEED = 4, 48, 0.4, 4, 64, 11
 #: Vectors of a block, and queries that meet one in a task; vectors hashed at a time.
 BLOCK_ROWS, CHUNK_ROWS, SLAB = 4096, 4096, 2048
 NEAREST, EVERY = 10, 100
@@ -99,7 +99,7 @@ def plan(n: int) -> tuple[int, int, int]:
     """Tables, bits of a key and probes of a table for ``n`` distinct vectors."""
     tables = min(MOST_TABLES, max(1, math.ceil(SPREAD * n**0.25)))
     bits = max(1, math.ceil(math.log2(max(1, n / BUCKET_ROWS))))
-    return tables, bits, max(1, math.ceil(REACH * math.sqrt(n) / (tables * max(1.0, n / 2**bits))))
+    return tables, bits, max(1, math.ceil(REACH * n**POWER / (tables * max(1.0, n / 2**bits))))
 
 
 def _by_length(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
