@@ -28,7 +28,7 @@ from landgauge.llm.common import materialize, table, text_of
 #: Code points after which a sentence end cuts, and after which a line without any is cut.
 LEAST, MOST = 64, 512
 #: Cells of a table for each digest and at least, steps of peeling (a table each), digests of a task.
-LOAD, FLOOR, STEPS, TASK_DIGESTS = 0.75, 8, 15, 400_000
+LOAD, FLOOR, STEPS, TASK_DIGESTS = 0.75, 8, 15, 64_000
 #: Documents of one group of neighbours, and the most groups (so that their heads have a bounded size).
 GROUP_ROWS, MOST_GROUPS, COARSE, NAMELESS = 512, 65_536, 128, 64
 
@@ -77,13 +77,12 @@ def peeled(sketches: DataFrame, steps: int = STEPS) -> DataFrame:
     """What is left of ``sketches`` after peeling table by table; a row with cell -1 counts what was recovered.
 
     A digest alone in its cell is taken from its other cells.  Within one
-    table no digest is met twice, so each step is one sum.  Sketches whose
-    name is a capital are kept as they are.
+    table no digest is met twice, so each step is one sum.
     """
     for step in range(steps):
         i = _TABLES[step % 3]
         others = [j for j in _TABLES if j != i]
-        pure = f"shiftright(cell, 40) = {i} AND abs(n) = 1 AND cell = {_cell(str(i), 'k', 'm')} AND q = {_check('k')} AND lower(sketch) = sketch"
+        pure = f"shiftright(cell, 40) = {i} AND abs(n) = 1 AND cell = {_cell(str(i), 'k', 'm')} AND q = {_check('k')}"
         off = ", ".join(f"named_struct('cell', {_cell(str(j), 'k', 'm')}, 'n', -n, 'k', k, 'q', q)" for j in others)
         moved = f"IF({pure}, array({off}, named_struct('cell', -1L, 'n', 1L, 'k', 0L, 'q', 0L)), array(named_struct('cell', cell, 'n', n, 'k', k, 'q', q)))"
         sketches = cells(sketches.selectExpr("uid", "sketch", "m", f"inline({moved})"))
@@ -147,32 +146,50 @@ def _prepared(docs: DataFrame) -> DataFrame:
     third = "int(n_chars div 3)"
     rows = rows.selectExpr("*", f"concat(substring(text, 1, int(n_chars) - {third}), substring(next_text, 1, {third})) AS edited")
     rows = rows.selectExpr("doc_id", "n_chars", "sha2(edited, 256) AS edited_sha256", *(f"{paragraphs(t)} AS p_{k}" for k, t in (("own", "text"), ("edit", "edited"), ("next", "next_text"))))
-    return materialize(rows.withColumn("uid", F.monotonically_increasing_id()).withColumns({"twice_own": F.lit(0), "twice_edit": F.lit(0), "more": F.lit(0)}))
+    return materialize(rows.withColumn("uid", F.monotonically_increasing_id()))
+
+
+#: The texts of a document, and the sketches each goes into (name, 1 or -1 where it is taken off).
+_TEXTS = {"own": (("a", 1), ("x", 1), ("y", 1)), "edit": (("b", 1), ("x", -1)), "next": (("y", -1),)}
+
+
+def _digests(rows: DataFrame, sketches: dict[str, str], total: int) -> DataFrame:
+    """uid, d, into of each paragraph, for ``sketches`` (name: cells of a table, in SQL).
+
+    Documents are dealt once; all sums by uid follow that dealing.
+    """
+    texts = {k: [s for s in v if s[0] in sketches] for k, v in _TEXTS.items()}
+    texts = {k: v for k, v in texts.items() if v}
+    parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // TASK_DIGESTS))
+    rows = rows.selectExpr("uid", *(f"p_{k}" for k in texts), *(f"{m} AS {s}" for s, m in sketches.items())).repartition(parts, "uid")
+    listed = ", ".join(f"transform(p_{k}, e -> named_struct('of', {i}, 'e', e))" for i, k in enumerate(texts))
+    one = rows.selectExpr("uid", *sketches, f"inline(concat({listed}))").groupBy("uid", "of", "e", *sketches).agg(F.count("*").alias("copies"))
+    each = lambda v: ", ".join(f"named_struct('sketch', '{s}', 'm', {s}, 'n', {n}L)" for s, n in v)
+    into = " ".join(f"WHEN {i} THEN array({each(v)})" for i, v in enumerate(texts.values()))
+    # Equal paragraphs are numbered, so that each is a digest of its own.
+    return one.selectExpr("uid", "e", "of", *sketches, "explode(sequence(1L, copies)) AS copy").selectExpr("uid", "xxhash64(e, copy) AS d", f"CASE of {into} END AS into")
 
 
 def attempt(rows: DataFrame, total: int) -> DataFrame:
-    """uid, and for each sketch what peeling left of it; the fingerprints as strings.
+    """uid, and for each sketch what peeling left of it.
 
     ``a`` and ``b`` are the sketches of a text and its edited text, ``x`` and
-    ``y`` the text's less the edited and the next text's.  Documents are dealt
-    once; all sums follow that dealing.
+    ``y`` the text's less the edited and the next text's.
     """
-    spark = rows.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // TASK_DIGESTS))
-    sizes = {k: f"size(p_{k})" for k in ("own", "edit", "next")}
-    rows = rows.repartition(parts, "uid").selectExpr("uid", "p_own", "p_edit", "p_next", f"{size_of(sizes['own'], 'twice_own')} AS a", f"{size_of(sizes['edit'], 'twice_edit')} AS b", *(f"shiftleft(2L, 2 * more) * greatest({size_of(sizes['own'], '0')}, {size_of(sizes[k], '0')}) AS {s}" for s, k in (("x", "edit"), ("y", "next"))))
-    put = lambda s, m, n: f"named_struct('sketch', '{s}', 'm', {m}, 'n', {n}L)"
-    into = {"own": [put("a", "a", 1), put("A", "a", 1), put("x", "x", 1), put("y", "y", 1)], "edit": [put("b", "b", 1), put("B", "b", 1), put("x", "x", -1)], "next": [put("y", "y", -1)]}
-    listed = ", ".join(f"transform(p_{k}, e -> named_struct('of', {i}, 'e', e))" for i, k in enumerate(into))
-    one = rows.selectExpr("uid", "a", "b", "x", "y", f"inline(concat({listed}))").groupBy("uid", "of", "e", "a", "b", "x", "y").agg(F.count("*").alias("copies"))
-    places = " ".join(f"WHEN {i} THEN array({', '.join(t)})" for i, t in enumerate(into.values()))
-    digests = one.selectExpr("uid", "e", "of", "a", "b", "x", "y", "explode(sequence(1L, copies)) AS copy").selectExpr("uid", "xxhash64(e, copy) AS d", f"CASE of {places} END AS into")
-    left = peeled(inserted(digests))
-    entry = "concat(lpad(hex(shiftleft(shiftright(cell, 40), 28) | (cell & 268435455L)), 8, '0'), lpad(hex(n), 4, '0'), lpad(hex(k), 16, '0'), lpad(hex(q), 8, '0'))"
-    kept = [f"array_join(sort_array(collect_list(IF(sketch = '{s}', {entry}, NULL))), '') AS {s}_cells" for s in "AB"]
+    first = {k: size_of(f"n_{k}", "0") for k in _TEXTS}
+    sizes = {"a": size_of("n_own", "twice_own"), "b": size_of("n_edit", "twice_edit")}
+    sizes |= {s: f"shiftleft(2L, 2 * more) * greatest({first['own']}, {first[k]})" for s, k in (("x", "edit"), ("y", "next"))}
+    left = peeled(inserted(_digests(rows, sizes, total)))
     stuck = [f"count_if(sketch = '{s}' AND cell >= 0) AS {s}_left" for s in "abxy"]
     apart = [f"coalesce(sum(IF(sketch = '{s}' AND cell < 0, n, 0L)), 0L) AS {s}_apart" for s in "xy"]
-    return left.groupBy("uid").agg(*map(F.expr, (*kept, *stuck, *apart)))
+    return left.groupBy("uid").agg(*map(F.expr, (*stuck, *apart)))
+
+
+def written(rows: DataFrame, total: int) -> DataFrame:
+    """uid, a_cells, b_cells: the fingerprints' cells as strings, by table and place."""
+    held = inserted(_digests(rows, {"a": size_of("n_own", "twice_own"), "b": size_of("n_edit", "twice_edit")}, total))
+    entry = "concat(lpad(hex(shiftleft(shiftright(cell, 40), 28) | (cell & 268435455L)), 8, '0'), lpad(hex(n), 4, '0'), lpad(hex(k), 16, '0'), lpad(hex(q), 8, '0'))"
+    return held.groupBy("uid").agg(*(F.expr(f"array_join(sort_array(collect_list(IF(sketch = '{s}', {entry}, NULL))), '')").alias(f"{s}_cells") for s in "ab"))
 
 
 def likeness(n_a: str, n_b: str, apart: str) -> str:
@@ -190,26 +207,27 @@ def fingerprinted(docs: DataFrame) -> DataFrame:
     stay null; repeated rows follow each other; an empty table gives no rows;
     other columns are not read.
     """
-    prepared = _prepared(docs)
-    todo, done = prepared, []
-    while True:
-        total = todo.agg(F.sum(F.size("p_own") + F.size("p_edit") + F.size("p_next"))).first()[0]
-        if total is None:
-            break
-        names = [c for c in todo.columns if not c.startswith("p_")]
-        # Documents without any paragraph in their three texts have no cells.
-        tried = materialize(todo.join(attempt(todo, total), "uid", "left").selectExpr(*names, "size(p_own) AS n_own", "size(p_edit) AS n_edit", "size(p_next) AS n_next", "coalesce(A_cells, '') AS A_cells", "coalesce(B_cells, '') AS B_cells", *(f"coalesce({c}, 0L) AS {c}" for c in ("a_left", "b_left", "x_left", "y_left", "x_apart", "y_apart"))))
-        failed = "a_left + b_left + x_left + y_left > 0"
-        done.append(tried.where(f"NOT ({failed})"))
-        again = tried.where(failed).selectExpr("uid", "IF(a_left > 0, 1, 0) AS own", "IF(b_left > 0, 1, 0) AS edit")
-        todo = materialize(todo.join(again, "uid").selectExpr(*(c for c in todo.columns if c not in ("twice_own", "twice_edit", "more")), "twice_own + own AS twice_own", "twice_edit + edit AS twice_edit", "more + 1 AS more"))
+    prepared = _prepared(docs).selectExpr("*", *(f"size(p_{k}) AS n_{k}" for k in _TEXTS))
+    total = prepared.agg(F.expr("sum(n_own + n_edit + n_next)")).first()[0]
     schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    if not done:
+    if total is None:
         return docs.sparkSession.createDataFrame([], schema)
-    out = done[0]
+    state, stuck = ["twice_own", "twice_edit", "more"], [f"{s}_left" for s in "abxy"]
+    todo, left, done = prepared.selectExpr("*", *(f"0 AS {s}" for s in state)), total, []
+    while left is not None:
+        # Documents without any paragraph in their three texts have no cells.
+        tried = materialize(todo.select("uid", *state).join(attempt(todo, left), "uid", "left").fillna(0))
+        failed = f"{' + '.join(stuck)} > 0"
+        done.append(tried.where(f"NOT ({failed})").drop(*stuck))
+        again = tried.where(failed).selectExpr("uid", "twice_own + IF(a_left > 0, 1, 0) AS twice_own", "twice_edit + IF(b_left > 0, 1, 0) AS twice_edit", "more + 1 AS more")
+        todo = materialize(prepared.join(again, "uid"))
+        left = todo.agg(F.expr("sum(n_own + n_edit + n_next)")).first()[0]
+    settled = done[0]
     for d in done[1:]:
-        out = out.unionByName(d)
-    prints = [f"lower(concat(n_{k}, ':', {size_of(f'n_{k}', f'twice_{k}')}, ':', {c}_cells)) AS {name}" for k, c, name in (("own", "A", "fingerprint"), ("edit", "B", "edited_fingerprint"))]
+        settled = settled.unionByName(d)
+    rows = prepared.join(settled, "uid")
+    out = rows.drop(*(f"p_{k}" for k in _TEXTS)).join(written(rows, total), "uid", "left")
+    prints = [f"lower(concat(n_{k}, ':', {size_of(f'n_{k}', f'twice_{k}')}, ':', coalesce({s}_cells, ''))) AS {name}" for k, s, name in (("own", "a", "fingerprint"), ("edit", "b", "edited_fingerprint"))]
     near = [f"{likeness('n_own', f'n_{k}', f'{s}_apart')} AS near_{name}" for k, s, name in (("edit", "x", "edited"), ("next", "y", "next"))]
     return out.selectExpr("doc_id", "n_chars", "edited_sha256", *prints, *near)
 

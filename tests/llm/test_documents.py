@@ -190,7 +190,8 @@ def test_a_hot_id_is_dealt_over_groups(spark, monkeypatch):
 
 
 def test_fingerprints_stay_in_the_jvm(spark, docs):
-    plan = fp.attempt(fp._prepared(table(spark, docs)), 1000)._jdf.queryExecution().toString() + fp.with_next(table(spark, docs))._jdf.queryExecution().toString()
+    rows = fp._prepared(table(spark, docs)).selectExpr("*", "size(p_own) AS n_own", "size(p_edit) AS n_edit", "size(p_next) AS n_next", "0 AS twice_own", "0 AS twice_edit", "0 AS more")
+    plan = "".join(d._jdf.queryExecution().toString() for d in (fp.with_next(table(spark, docs)), fp.attempt(rows, 1000), fp.written(rows, 1000), fp.fingerprinted(table(spark, docs))))
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
 
 
