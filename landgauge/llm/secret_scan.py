@@ -3,8 +3,10 @@
 Candidates are values assigned to credential-like names, strings of known
 credential formats and long runs of token characters with digits.  The forest
 judges each by its length, character transitions, dictionary coverage, path
-and neighbouring words; it is trained here, on labelled findings that
-:func:`labelled_findings` writes from a fixed seed (the corpus labels none).
+and neighbouring words.  The dictionary is the corpus's own: the words that
+stand in most documents.  The forest is trained here, on labelled findings
+that :func:`labelled_findings` writes from a fixed seed (the corpus labels
+none).
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ import math
 import random
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,11 +39,12 @@ _NEXT = re.compile(r"[&;,](?=[\w.\-%\[\]]{1,40}[:=])")
 _NAME = re.compile(r"(?:token|secret|passw(?:or)?d|passwd|pwd|api[_-]?key|access[_-]?key|credentials?|auth|bearer|private[_-]?key)[\w\-]{0,12}[\"'`]?\s{0,3}$", re.I)
 _NAME_REACH, _NEAR = 48, 40
 _KNOWN = re.compile(r"AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[0-9A-Za-z_\-]{35}|[sr]k_(?:live|test)_[0-9A-Za-z]{16,}|eyJ[\w\-]{10,}\.[\w\-]{10,}\.[\w\-]{10,}")
-_KEY_BLOCK = re.compile(r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----[^-]{16,}-----END [A-Z ]{0,20}PRIVATE KEY-----")
+#: From a key block's first line to its last, headers (Proc-Type, DEK-Info) included.
+_KEY_BLOCK = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?)-----(?:(?!-----)[\s\S]){16,}-----END \1-----")
 _HARMLESS = re.compile(r"commit|sha\d*|md5|checksum|digest|hash|uuid|guid|integrity|example|sample|dummy|placeholder|version|path|file|image|base64|isbn|phone|revision|color", re.I)
 _HINT = re.compile(r"token|secret|passw|pwd|api|key|auth|bearer|credential|login|private", re.I)
-#: Frequent pieces of names and prose.
-DICTIONARY = (
+#: Pieces of names that the labelled findings are written with; they stand in every dictionary.
+PIECES = (
     "access account array auth base cache client code color commit config content count data date debug default device domain email error event example "
     "file format function group handle hash header home host html image index input item json label lang layer library line link list load local login main "
     "manager master media message meta method model module month name network note null number object option order output package page param part pass path "
@@ -50,7 +53,32 @@ DICTIONARY = (
     "stream string style system table target task team template test text theme thread time title token total tree type unit update upload user value "
     "version video view week width window word work world write year your zone "
 ).split()
-_WORDS = {n: {w for w in DICTIONARY if len(w) == n} for n in range(3, 9)}
+#: Words of a dictionary taken from a corpus (those in most documents), and their lengths.
+DICTIONARY_WORDS, SHORTEST, LONGEST = 20_000, 4, 12
+
+
+class Dictionary:
+    """Words by length, for :meth:`coverage`."""
+
+    def __init__(self, words: Iterable[str] = ()):
+        self.words = frozenset(words) | frozenset(PIECES)
+
+    def coverage(self, value: str) -> float:
+        """Share of the letters that stand in words, longest first."""
+        low, covered, i = value.lower(), 0, 0
+        letters = sum(c.isalpha() for c in low)
+        while i < len(low):
+            n = next((n for n in range(min(LONGEST, len(low) - i), 2, -1) if low[i : i + n] in self.words), 0)
+            covered += n
+            i += n or 1
+        return covered / letters if letters else 0.0
+
+
+def dictionary(docs: DataFrame, most: int = DICTIONARY_WORDS) -> Dictionary:
+    """The ``most`` words that stand in most documents, over all of ``docs``; ties by the word."""
+    found = F.array_distinct(F.regexp_extract_all(F.lower(text_of()), F.lit(rf"\b[a-z]{{{SHORTEST},{LONGEST}}}\b"), 0))
+    counted = docs.select(F.explode(found).alias("word")).groupBy("word").count().where("count > 1")
+    return Dictionary(r["word"] for r in counted.orderBy(F.desc("count"), "word").limit(most).collect())
 
 
 def candidates(text: str, start: int = 0, stop: int | None = None) -> list[tuple[int, int, str]]:
@@ -94,22 +122,11 @@ def candidates(text: str, start: int = 0, stop: int | None = None) -> list[tuple
     return found
 
 
-def coverage(value: str) -> float:
-    """Share of the letters that stand in dictionary words, longest first."""
-    low, covered, i = value.lower(), 0, 0
-    letters = sum(c.isalpha() for c in low)
-    while i < len(low):
-        n = next((n for n in range(8, 2, -1) if low[i : i + n] in _WORDS[n]), 0)
-        covered += n
-        i += n or 1
-    return covered / letters if letters else 0.0
-
-
 def _kinds(value: str) -> list[int]:
     return [0 if c.isdigit() else 1 if c.islower() else 2 if c.isupper() else 3 for c in value]
 
 
-def describe(text: str, start: int, end: int, kind: str) -> list[float]:
+def describe(text: str, start: int, end: int, kind: str, words: Dictionary) -> list[float]:
     """The features of one candidate."""
     v = text[start:end]
     n, k = len(v), _kinds(v)
@@ -125,7 +142,7 @@ def describe(text: str, start: int, end: int, kind: str) -> list[float]:
     consonants = max((len(x) for x in re.findall(r"[b-df-hj-np-tv-zB-DF-HJ-NP-TV-Z]+", v)), default=0)
     left, right = text[max(0, start - _NEAR) : start], text[end : end + _NEAR]
     return [
-        math.log2(n), *share, *moves_, entropy, entropy / math.log2(max(2, n)), vowels / max(1, letters), consonants, coverage(v),
+        math.log2(n), *share, *moves_, entropy, entropy / math.log2(max(2, n)), vowels / max(1, letters), consonants, words.coverage(v),
         float(all(c in "0123456789abcdefABCDEF" for c in v)), v.count("-") / n, v.count("/") / n, v.count(".") / n, v.count("_") / n,
         max(counts), float(left[-1:] in "/\\."), float("://" in left[-16:] + v), float(left[-1:] in "\"'`" and right[:1] in "\"'`"),
         float(bool(_NAME.search(left.rstrip("\"'`: =\t") if kind != "assigned" else "token"))), float(bool(_HINT.search(left))), float(bool(_HARMLESS.search(left))), float(bool(_HARMLESS.search(v))),
@@ -133,27 +150,27 @@ def describe(text: str, start: int, end: int, kind: str) -> list[float]:
     ]
 
 
-def labelled_findings(n: int = FINDINGS, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
+def labelled_findings(words: Dictionary, n: int = FINDINGS, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
     """Features and labels of ``n`` findings written for training."""
     r = random.Random(seed)
     letters = "abcdefghijklmnopqrstuvwxyz"
     pick = lambda alphabet, a, b: "".join(r.choice(alphabet) for _ in range(r.randint(a, b)))
     alnum = letters + letters.upper() + "0123456789"
     hex_ = lambda a, b: pick("0123456789abcdef", a, b)
-    word = lambda: r.choice(DICTIONARY)
+    word = lambda: r.choice(PIECES)
     prose = lambda: " ".join(pick("etaoinshrdlu", 2, 9) for _ in range(r.randint(2, 6)))
     b64 = lambda a, b: base64.b64encode(r.randbytes(r.randint(a, b))).decode()
     known = (
         lambda: "AKIA" + pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 16, 16), lambda: "ghp_" + pick(alnum, 36, 36), lambda: "xoxb-" + pick("0123456789", 10, 12) + "-" + pick(alnum, 24, 24),
         lambda: "sk_live_" + pick(alnum, 24, 32), lambda: "AIza" + pick(alnum, 35, 35), lambda: "eyJ" + pick(alnum, 20, 60) + ".eyJ" + pick(alnum, 40, 160) + "." + pick(alnum + "-_", 43, 43),
-        lambda: "-----BEGIN RSA PRIVATE KEY-----\n" + b64(200, 600) + "\n-----END RSA PRIVATE KEY-----",
+        lambda: "-----BEGIN RSA PRIVATE KEY-----\n" + r.choice(("", "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC," + hex_(32, 32).upper() + "\n\n")) + b64(200, 600) + "\n-----END RSA PRIVATE KEY-----",
     )
     secret = (
         lambda: hex_(32, 64), lambda: pick(alnum, 20, 48), lambda: pick(alnum + "-_", 24, 64), lambda: b64(18, 48),
-        lambda: pick(alnum + "!@#$%^&*", 10, 20), *known,
+        lambda: pick(alnum + "!@#$%^&*", 8, 20), lambda: "".join(r.choice((word, lambda: pick("etaoinshrdlu", 4, 8)))() for _ in range(r.randint(3, 5))) + pick("0123456789", 0, 2), *known,
     )
     names = ("token", "api_key", "apikey", "secret", "password", "client_secret", "access_key", "auth_token", "API-KEY", "TOKEN", "SECRET_KEY", "private_key", "passwd")
-    forms = ('{n} = "{v}"', "{n}={v}", "{n}: {v}", '"{n}": "{v}"', "{n} = '{v}'", "Authorization: Bearer {v}", "{n} := {v}", "export {n}={v}")
+    forms = ('{n} = "{v}"', "{n}={v}", "{n}: {v}", '"{n}": "{v}"', "{n} = '{v}'", "Authorization: Bearer {v}", "{n} := {v}", "export {n}={v}", "host=db:5432;{n}={v};ssl=on", "https://api.test/cb?{n}={v}&id=7")
     harmless = (
         lambda: "commit " + hex_(40, 40), lambda: "sha256:" + hex_(64, 64), lambda: "checksum " + hex_(32, 32), lambda: "uuid " + str(uuid.UUID(int=r.getrandbits(128))),
         lambda: "/".join(["/usr", word(), word() + str(r.randint(1, 99)), word(), word() + ".py"]), lambda: f"https://www.{word()}.org/{word()}/{r.randint(1, 9999)}/{word()}-{word()}.html",
@@ -173,7 +190,7 @@ def labelled_findings(n: int = FINDINGS, seed: int = SEED) -> tuple[np.ndarray,
             body = body.upper()
         text = f"{prose()} {body}{r.choice(('', ' ', '.', '!!', chr(10)))} {prose()}"
         for a, z, kind in candidates(text):
-            x.append(describe(text, a, z, kind))
+            x.append(describe(text, a, z, kind, words))
             y.append(int(label))
     return np.array(x[:n]), np.array(y[:n])
 
@@ -226,19 +243,34 @@ class Forest:
         return total / len(self.trees)
 
 
-@functools.lru_cache(maxsize=1)
-def forest() -> Forest:
-    return Forest(*labelled_findings())
+class Judge:
+    """A forest and the dictionary that its features rest on."""
 
+    def __init__(self, words: Dictionary):
+        self.words, self.forest = words, Forest(*labelled_findings(words))
 
-def findings(text: str, model: Forest) -> list[tuple[int, int, str, float]]:
+    def score(self, text: str, found: list[tuple[int, int, str]]) -> np.ndarray:
+        return self.forest.score(np.array([describe(text, *c, self.words) for c in found]))
+
+
+@functools.lru_cache(maxsize=4)
+def _judge(words: frozenset) -> Judge:
+    return Judge(Dictionary(words))
+
+
+def judge(docs: DataFrame | None = None) -> Judge:
+    """Trained with the dictionary of ``docs``, on the driver: at most ``FINDINGS`` findings, whatever the input."""
+    return _judge((Dictionary() if docs is None else dictionary(docs)).words)
+
+
+def findings(text: str, model: Judge) -> list[tuple[int, int, str, float]]:
     """(start, end, kind, score) of each candidate; a score of at least ``THRESHOLD`` makes it a secret.
 
     An assigned value that is no secret gives way to the candidates inside it.
     """
     out, found = [], candidates(text)
     while found:
-        scores = model.score(np.array([describe(text, *c) for c in found]))
+        scores = model.score(text, found)
         inside = []
         for c, s in zip(found, scores, strict=True):
             held = candidates(text, c[0], c[1]) if c[2] == "assigned" and s < THRESHOLD else []
@@ -253,10 +285,13 @@ def scan(docs: DataFrame) -> DataFrame:
     """doc_id, start, length, kind, secret_sha256, score, secret of each candidate.
 
     Positions are code points from 0; the secret itself is given as its hash
-    only.  Null texts have none; null ids stay null; repeated rows give
-    repeated results; an empty table gives none; other columns are not read.
+    only.  Null texts have none; very long texts and candidates are judged
+    whole; null ids stay null; repeated rows give repeated results; an empty
+    table gives none; other columns are not read.  A name counts where it ends
+    within ``_NAME_REACH`` characters before its separator, and the words
+    within ``_NEAR`` characters of a candidate are its neighbours.
     """
-    model = docs.sparkSession.sparkContext.broadcast(forest())
+    model = docs.sparkSession.sparkContext.broadcast(judge(docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -277,8 +312,13 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def masked(docs: DataFrame, mask: str = MASK) -> DataFrame:
-    """``docs`` with each secret in a text replaced by ``mask``; n_chars follows the text."""
-    model = docs.sparkSession.sparkContext.broadcast(forest())
+    """``docs`` with each secret in a text replaced by ``mask``; n_chars follows the text.
+
+    Null texts stay null and empty ones empty; very long texts are searched
+    whole; repeated rows stay repeated; an empty table stays empty; other
+    columns, whatever their names, are kept as they are.
+    """
+    model = docs.sparkSession.sparkContext.broadcast(judge(docs))
     at = docs.columns.index("text")
 
     def clean(text: str | None) -> str | None:
