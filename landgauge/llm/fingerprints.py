@@ -153,15 +153,16 @@ def _prepared(docs: DataFrame) -> DataFrame:
 _TEXTS = {"own": (("a", 1), ("x", 1), ("y", 1)), "edit": (("b", 1), ("x", -1)), "next": (("y", -1),)}
 
 
-def _digests(rows: DataFrame, sketches: dict[str, str], total: int) -> DataFrame:
-    """uid, d, into of each paragraph, for ``sketches`` (name: cells of a table, in SQL).
+def _dealt(rows: DataFrame, total: int) -> DataFrame:
+    """``rows`` dealt by uid, a bounded number of digests a task: all sums and joins by uid follow that dealing."""
+    return rows.repartition(max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // TASK_DIGESTS)), "uid")
 
-    Documents are dealt once; all sums by uid follow that dealing.
-    """
+
+def _digests(rows: DataFrame, sketches: dict[str, str]) -> DataFrame:
+    """uid, d, into of each paragraph of ``rows``, for ``sketches`` (name: cells of a table, in SQL)."""
     texts = {k: [s for s in v if s[0] in sketches] for k, v in _TEXTS.items()}
     texts = {k: v for k, v in texts.items() if v}
-    parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // TASK_DIGESTS))
-    rows = rows.selectExpr("uid", *(f"p_{k}" for k in texts), *(f"{m} AS {s}" for s, m in sketches.items())).repartition(parts, "uid")
+    rows = rows.selectExpr("uid", *(f"p_{k}" for k in texts), *(f"{m} AS {s}" for s, m in sketches.items()))
     listed = ", ".join(f"transform(p_{k}, e -> named_struct('of', {i}, 'e', e))" for i, k in enumerate(texts))
     one = rows.selectExpr("uid", *sketches, f"inline(concat({listed}))").groupBy("uid", "of", "e", *sketches).agg(F.count("*").alias("copies"))
     each = lambda v: ", ".join(f"named_struct('sketch', '{s}', 'm', {s}, 'n', {n}L)" for s, n in v)
@@ -179,15 +180,15 @@ def attempt(rows: DataFrame, total: int) -> DataFrame:
     first = {k: size_of(f"n_{k}", "0") for k in _TEXTS}
     sizes = {"a": size_of("n_own", "twice_own"), "b": size_of("n_edit", "twice_edit")}
     sizes |= {s: f"shiftleft(2L, 2 * more) * greatest({first['own']}, {first[k]})" for s, k in (("x", "edit"), ("y", "next"))}
-    left = peeled(inserted(_digests(rows, sizes, total)))
+    left = peeled(inserted(_digests(_dealt(rows, total), sizes)))
     stuck = [f"count_if(sketch = '{s}' AND cell >= 0) AS {s}_left" for s in "abxy"]
     apart = [f"coalesce(sum(IF(sketch = '{s}' AND cell < 0, n, 0L)), 0L) AS {s}_apart" for s in "xy"]
     return left.groupBy("uid").agg(*map(F.expr, (*stuck, *apart)))
 
 
-def written(rows: DataFrame, total: int) -> DataFrame:
-    """uid, a_cells, b_cells: the fingerprints' cells as strings, by table and place."""
-    held = inserted(_digests(rows, {"a": size_of("n_own", "twice_own"), "b": size_of("n_edit", "twice_edit")}, total))
+def written(rows: DataFrame) -> DataFrame:
+    """uid, a_cells, b_cells: the fingerprints' cells as strings, by table and place.  ``rows`` are dealt by uid."""
+    held = inserted(_digests(rows, {"a": size_of("n_own", "twice_own"), "b": size_of("n_edit", "twice_edit")}))
     entry = "concat(lpad(hex(shiftleft(shiftright(cell, 40), 28) | (cell & 268435455L)), 8, '0'), lpad(hex(n), 4, '0'), lpad(hex(k), 16, '0'), lpad(hex(q), 8, '0'))"
     return held.groupBy("uid").agg(*(F.expr(f"array_join(sort_array(collect_list(IF(sketch = '{s}', {entry}, NULL))), '')").alias(f"{s}_cells") for s in "ab"))
 
@@ -219,14 +220,15 @@ def fingerprinted(docs: DataFrame) -> DataFrame:
         tried = materialize(todo.select("uid", *state).join(attempt(todo, left), "uid", "left").fillna(0))
         failed = f"{' + '.join(stuck)} > 0"
         done.append(tried.where(f"NOT ({failed})").drop(*stuck))
-        again = tried.where(failed).selectExpr("uid", "twice_own + IF(a_left > 0, 1, 0) AS twice_own", "twice_edit + IF(b_left > 0, 1, 0) AS twice_edit", "more + 1 AS more")
+        again = materialize(tried.where(failed).selectExpr("uid", "twice_own + IF(a_left > 0, 1, 0) AS twice_own", "twice_edit + IF(b_left > 0, 1, 0) AS twice_edit", "more + 1 AS more"))
         todo = materialize(prepared.join(again, "uid"))
         left = todo.agg(F.expr("sum(n_own + n_edit + n_next)")).first()[0]
     settled = done[0]
     for d in done[1:]:
         settled = settled.unionByName(d)
-    rows = prepared.join(settled, "uid")
-    out = rows.drop(*(f"p_{k}" for k in _TEXTS)).join(written(rows, total), "uid", "left")
+    settled = _dealt(settled, total).hint("merge")
+    # Digests and what else is known of a document are dealt apart, once each; the joins move nothing.
+    out = _dealt(prepared.drop(*(f"p_{k}" for k in _TEXTS)), total).join(settled, "uid").join(written(_dealt(prepared.drop("doc_id", "n_chars", "edited_sha256", "p_next"), total).join(settled, "uid")).hint("merge"), "uid", "left")
     prints = [f"lower(concat(n_{k}, ':', {size_of(f'n_{k}', f'twice_{k}')}, ':', coalesce({s}_cells, ''))) AS {name}" for k, s, name in (("own", "a", "fingerprint"), ("edit", "b", "edited_fingerprint"))]
     near = [f"{likeness('n_own', f'n_{k}', f'{s}_apart')} AS near_{name}" for k, s, name in (("edit", "x", "edited"), ("next", "y", "next"))]
     return out.selectExpr("doc_id", "n_chars", "edited_sha256", *prints, *near)
