@@ -4,10 +4,10 @@ A unit vector is turned by fast pseudo-rotations (random signs and a Hadamard
 transform, three times) and assigned to the nearest signed axis; a table's
 key joins some such axes, the last one of fewer dimensions, so that a bucket
 holds a handful of vectors at any size of the index.  The index is keys and
-row numbers only.  Queries probe a stated number of keys in each table, the
-likeliest first; what they collect is reranked by exact distances of the
-original vectors in double precision, block by block.  The rows that a query
-is compared with grow as a power of the rows well under 1.
+row numbers only.  Queries probe keys in each table, the likeliest first,
+until the buckets hold a stated number of vectors; what they collect is
+reranked by exact distances of the original vectors in double precision, block
+by block.  That number grows as a power of the vectors well under 1.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from landgauge.llm.common import materialize, table
 
 #: Rows expected in a bucket, at most; a query's candidates: REACH times the POWER of the rows; tables over the fourth root, and the most.
-BUCKET_ROWS, REACH, POWER, SPREAD, MOST_TABLES, SEED = 4, 48, 0.4, 4, 64, 11
+BUCKET_ROWS, REACH, POWER, SPREAD, MOST_TABLES, SEED = 4, 72, 0.4, 4, 64, 11
 #: Vectors of a block, and queries that meet one in a task; vectors hashed at a time.
 BLOCK_ROWS, CHUNK_ROWS, SLAB = 4096, 4096, 2048
 NEAREST, EVERY = 10, 100
@@ -95,11 +95,16 @@ class CrossPolytope:
         return key
 
 
-def plan(n: int) -> tuple[int, int, int]:
-    """Tables, bits of a key and probes of a table for ``n`` distinct vectors."""
+def plan(n: int) -> tuple[int, int, int, int]:
+    """Tables, bits of a key, probes of a table and vectors that end them, for ``n`` distinct vectors.
+
+    The probes would meet that many vectors if all keys were equally filled;
+    the likeliest are filled better, so the vectors end them.
+    """
     tables = min(MOST_TABLES, max(1, math.ceil(SPREAD * n**0.25)))
     bits = max(1, math.ceil(math.log2(max(1, n / BUCKET_ROWS))))
-    return tables, bits, max(1, math.ceil(REACH * n**POWER / (tables * max(1.0, n / 2**bits))))
+    rows = max(1, math.ceil(REACH * n**POWER / tables))
+    return tables, bits, max(1, math.ceil(rows / max(1.0, n / 2**bits))), rows
 
 
 def _by_length(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -128,7 +133,7 @@ def indexed(rows: DataFrame, every: int = EVERY) -> DataFrame:
 
 def candidates(distinct: DataFrame, n: int) -> DataFrame:
     """q, v: the vectors that each asking vector meets in the tables; a pair may stand more than once."""
-    tables, bits, probes = plan(n)
+    tables, bits, probes, enough = plan(n)
     dim = distinct.agg(F.max("dim")).first()[0]
     hashing = CrossPolytope(dim, tables, bits)
     # A vector meets those of its own length only: the length is part of the key.
@@ -152,11 +157,16 @@ def candidates(distinct: DataFrame, n: int) -> DataFrame:
             for t in range(tables):
                 keys = hashing.probes(x, t, probes)
                 row = pa.array(np.repeat(np.arange(len(x)), keys.shape[1]))
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel() + base(x.shape[1], t)), q.take(row)], ["key", "q"])
-
-    index = distinct.select("v", "embedding").mapInArrow(place, "key long, v long")
-    asked = distinct.where("asks = 1").select("v", "embedding").mapInArrow(ask, "key long, q long")
-    return asked.join(index, "key").select("q", "v")
+                turn = pa.array(np.tile(np.arange(keys.shape[1], dtype=np.int32), len(x)))
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel() + base(x.shape[1], t)), q.take(row), turn], ["key", "q", "turn"])
+
+    index = materialize(distinct.select("v", "embedding").mapInArrow(place, "key long, v long"))
+    asked = distinct.where("asks = 1").select("v", "embedding").mapInArrow(ask, "key long, q long, turn int")
+    # A bucket is read whole if those before it hold too few.
+    held = asked.join(index.groupBy("key").agg(F.count("*").alias("n")), "key")
+    before = f"sum(n) over (partition by q, shiftright(key, {_KEY_BITS}) order by turn rows between unbounded preceding and 1 preceding)"
+    kept = held.withColumn("before", F.expr(f"coalesce({before}, 0)")).where(F.col("before") < enough).select("key", "q")
+    return kept.join(index, "key").select("q", "v")
 
 
 def _block(v: str, blocks: int) -> Column:
