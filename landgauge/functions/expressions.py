@@ -95,6 +95,17 @@ def vegetation_rule(detailed: Column | str, broad: Column | str) -> Column:
     return F.when(d == "tree_loss", 1).when(d == "tree_gain", 2).when(d.startswith("tree_tree"), 3).when(b.isin("crop", "short_veg"), 4).otherwise(0)
 
 
+def transition(start: Column | str, end: Column | str, classes: int = len(codes.LAND_COVER)) -> Column:
+    """One code for a pair of classes, from 0 on."""
+    return as_column(start) * classes + as_column(end)
+
+
+def transition_parts(code: Column | str, classes: int = len(codes.LAND_COVER)) -> tuple[Column, Column]:
+    """Start and end class of a transition code."""
+    c = as_column(code)
+    return F.floor(c / classes).cast("int"), F.pmod(c, F.lit(classes)).cast("int")
+
+
 def flag(condition: Column) -> Column:
     """1 where a condition holds, else 0, null conditions included."""
     return F.when(condition, 1).otherwise(0)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import math
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +36,53 @@ def rings(geometry: dict) -> list[list[tuple[float, float]]]:
     return out
 
 
+def from_wkb(text: str) -> dict:
+    """A GeoJSON polygon or multipolygon of well-known binary, as hexadecimal digits; further dimensions are dropped."""
+    data, at = bytes.fromhex(text), 0
+
+    def read(form: str, order: str) -> tuple:
+        nonlocal at
+        found = struct.unpack_from(order + form, data, at)
+        at += struct.calcsize(order + form)
+        return found
+
+    def shape() -> tuple[str, list]:
+        order = "<" if read("b", "<")[0] else ">"
+        (kind,) = read("I", order)
+        dims = 2 + bool(kind & 0x80000000 or kind % 0x20000000 // 1000 in (1, 3)) + bool(kind & 0x40000000 or kind % 0x20000000 // 1000 in (2, 3))
+        if kind & 0x20000000:
+            read("I", order)  # the reference system
+        (n,) = read("I", order)
+        if kind % 1000 == 3:
+            return "Polygon", [[list(read(f"{dims}d", order)[:2]) for _ in range(read("I", order)[0])] for _ in range(n)]
+        if kind % 1000 == 6:
+            return "MultiPolygon", [shape()[1] for _ in range(n)]
+        raise ValueError(f"no area in well-known binary of type {kind % 1000}")
+
+    kind, coordinates = shape()
+    return {"type": kind, "coordinates": coordinates}
+
+
+def parse(text: str) -> dict:
+    """A geometry given as GeoJSON text or as hexadecimal well-known binary."""
+    return json.loads(text) if text.lstrip().startswith("{") else from_wkb(text.strip())
+
+
+def holds_centre(geometry: dict, x0: float, y0: float, resolution: float) -> bool:
+    """Whether any centre (x0 + i * resolution, y0 - j * resolution) lies within, row by row, until one is found."""
+    e = np.array(edges(geometry))
+    _, low, _, high = bounds(geometry)
+    for j in range(math.ceil((y0 - high) / resolution), math.floor((y0 - low) / resolution) + 1):
+        y = y0 - j * resolution
+        own = e[(e[:, 1] > y) != (e[:, 3] > y)]
+        x = np.sort((own[:, 2] - own[:, 0]) * (y - own[:, 1]) / (own[:, 3] - own[:, 1]) + own[:, 0])
+        # A centre lies within from an odd crossing up to the next one.
+        first = np.ceil((x[0::2] - x0) / resolution)
+        if (first * resolution + x0 < x[1::2]).any():
+            return True
+    return False
+
+
 def edges(geometry: dict) -> list[tuple[float, float, float, float]]:
     """(x1, y1, x2, y2) of each edge."""
     return [(*p, *q) for r in rings(geometry) for p, q in zip(r, r[1:], strict=False) if p != q]
@@ -103,12 +152,10 @@ def geodesic_area_ha(geometry: dict) -> float:
 
 
 def geodesic_area(geojson: Column) -> Column:
-    """Hectares of a column of GeoJSON texts: a vectorised Pandas UDF, as no built-in function has it."""
-    import json
-
+    """Hectares of a column of GeoJSON texts or hexadecimal WKB: a vectorised Pandas UDF, as no built-in function has it."""
     @F.pandas_udf("double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in batches:
-            yield s.map(lambda t: geodesic_area_ha(json.loads(t)) if t else None).astype("float64")
+            yield s.map(lambda t: geodesic_area_ha(parse(t)) if t else None).astype("float64")
 
     return run(geojson)

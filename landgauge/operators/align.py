@@ -35,6 +35,16 @@ def snap(layer: DataFrame, grid: Grid, x: str = "x", y: str = "y") -> DataFrame:
     return layer.withColumns({"row": r, "col": c}).where("row IS NOT NULL AND col IS NOT NULL").drop(x, y)
 
 
+def overwrite(layer: DataFrame, own: Grid, shape: tuple[int, int], x: str = "x", y: str = "y") -> DataFrame:
+    """``layer`` by position: its n-th row and column are those of the reference grid, whatever its coordinates say.
+
+    ``own`` is the layer's own grid; what lies beyond ``shape`` (rows,
+    columns) of the reference goes.
+    """
+    placed = snap(layer, Grid(own.x0, own.y0, own.resolution, own.resolution / 2), x, y)
+    return placed.where(F.col("row").between(0, shape[0] - 1) & F.col("col").between(0, shape[1] - 1))
+
+
 def align(base: DataFrame, layers: dict[str, DataFrame], fill: dict[str, float] | None = None, on: tuple = ("row", "col")) -> DataFrame:
     """``base`` with one column for each layer's ``value``, null where it has none.
 

@@ -73,12 +73,26 @@ def pixel_counts(new: DataFrame, old: DataFrame, condition: Column, limit: float
 
 
 def qc_totals(pixels: DataFrame, area: str, classes: dict[str, str]) -> DataFrame:
-    """Masked area by class, for several class columns at once: layer, class, total."""
-    out = None
-    for name, column in classes.items():
-        part = pixels.where(F.col(column).isNotNull()).groupBy(F.lit(name).alias("layer"), F.col(column).cast("string").alias("class")).agg(F.sum(area).alias("total"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    """Masked area by class, for several class columns in one pass: layer, class, total."""
+    pairs = F.array(*(F.struct(F.lit(n).alias("layer"), F.col(c).cast("string").alias("class")) for n, c in classes.items()))
+    rows = pixels.select(F.col(area).alias("__area"), F.inline(pairs)).where(F.col("class").isNotNull())
+    return rows.groupBy("layer", "class").agg(F.sum("__area").alias("total"))
+
+
+def distinct_by(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """How many values each column has for a key."""
+    return df.groupBy(key).agg(*(F.count_distinct(c).alias(c) for c in columns))
+
+
+def varying(df: DataFrame, key: str, column: str) -> DataFrame:
+    """The rows of keys for which a column has more than one value, with their number."""
+    several = df.groupBy(key).agg(F.count_distinct(column).alias("values")).where("values > 1")
+    return df.join(several, key)
+
+
+def some_features(features: DataFrame, start: int = 0, limit: int = 20, key: str = "feature_id") -> DataFrame:
+    """The features from the ``start``-th up to the ``limit``-th, in the order of their key."""
+    return features.orderBy(key).offset(start).limit(max(0, limit - start))
 
 
 @dataclass

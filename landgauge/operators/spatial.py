@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landgauge.functions import geo
+from landgauge.operators.align import Grid
 
 EDGE = T.ArrayType(T.StructType([T.StructField(n, T.DoubleType(), False) for n in ("x1", "y1", "x2", "y2")]))
 AREA = T.StructType([T.StructField("aoi_id", T.StringType()), T.StructField("aoi_type", T.StringType()), *(T.StructField(n, T.DoubleType()) for n in ("min_x", "min_y", "max_x", "max_y")), T.StructField("edges", EDGE)])
@@ -32,9 +33,16 @@ def with_tile(pixels: DataFrame, size: float) -> DataFrame:
 
 
 def _tiles(area: DataFrame, size: float) -> DataFrame:
-    """A row for each tile that an area's box touches."""
+    """A row for each tile that an area's box touches, with the edges that rays from its row can meet.
+
+    Edges are cut to rows of tiles first and to what is not left of the tile
+    then, so that a long border is not copied whole to each of its tiles.
+    """
     along = lambda low, high: F.explode(F.sequence(F.floor(F.col(low) / size), F.floor(F.col(high) / size)))
-    return area.withColumn("tile_x", along("min_x", "max_x")).withColumn("tile_y", along("min_y", "max_y"))
+    top, bottom = (F.col("tile_y") + 1) * size, F.col("tile_y") * size
+    in_row = F.filter("edges", lambda e: (F.greatest(e["y1"], e["y2"]) >= bottom) & (F.least(e["y1"], e["y2"]) <= top))
+    rows = area.withColumn("tile_y", along("min_y", "max_y")).withColumn("edges", in_row)
+    return rows.withColumn("tile_x", along("min_x", "max_x")).withColumn("edges", F.filter("edges", lambda e: F.greatest(e["x1"], e["x2"]) >= F.col("tile_x") * size))
 
 
 def _crosses(size: float) -> Column:
@@ -75,19 +83,36 @@ def clip(pixels: DataFrame, area: DataFrame, size: float = 1.0) -> DataFrame:
     return out.where(F.col("whole") | geo.inside(F.col("x"), F.col("y"), F.col("edges"))).drop("tile_x", "tile_y", "whole", "edges")
 
 
-def too_small(pixels: DataFrame, area: DataFrame, clipped: DataFrame, reach: float) -> DataFrame:
-    """aoi_id of areas that lie within the data but hold no pixel centre.
+def too_small(geometries: dict[str, dict], grid: Grid, extent: tuple[float, float, float, float]) -> list[str]:
+    """Ids of areas that lie within the data but hold no pixel centre.
 
-    ``reach`` is half a pixel.  An area off the data is not too small: its
-    result is empty.
+    ``extent`` is the box of the data, from the grid's metadata: nothing is
+    scanned.  An area off the data is not too small: its result is empty.
     """
-    box = pixels.agg(F.min("x").alias("px0"), F.min("y").alias("py0"), F.max("x").alias("px1"), F.max("y").alias("py1"))
-    near = area.crossJoin(F.broadcast(box)).where((F.col("max_x") >= F.col("px0") - reach) & (F.col("min_x") <= F.col("px1") + reach) & (F.col("max_y") >= F.col("py0") - reach) & (F.col("min_y") <= F.col("py1") + reach))
-    return near.select("aoi_id").join(clipped.select("aoi_id").distinct(), "aoi_id", "left_anti")
+    half = grid.resolution / 2
+    found = []
+    for i, g in sorted(geometries.items()):
+        a, b, c, d = geo.bounds(g)
+        near = c >= extent[0] - half and a <= extent[2] + half and d >= extent[1] - half and b <= extent[3] + half
+        if near and not geo.holds_centre(g, grid.x0, grid.y0, grid.resolution):
+            found.append(i)
+    return found
 
 
-def require_pixels(pixels: DataFrame, area: DataFrame, clipped: DataFrame, reach: float) -> None:
+def require_pixels(geometries: dict[str, dict], grid: Grid, extent: tuple[float, float, float, float]) -> None:
     """Raise :class:`AreaTooSmall` if any area of the request is."""
-    found = [r["aoi_id"] for r in too_small(pixels, area, clipped, reach).collect()]
-    if found:
-        raise AreaTooSmall(f"no pixel centre in {', '.join(sorted(found))}")
+    if found := too_small(geometries, grid, extent):
+        raise AreaTooSmall(f"no pixel centre in {', '.join(found)}")
+
+
+def of_features(pixels: DataFrame, features: dict, grid: Grid, extent: tuple[float, float, float, float], size: float, aoi_type: str = "feature_collection") -> DataFrame:
+    """Pixels within the features of a collection, with aoi_id and aoi_type.
+
+    Ids go with their own geometries, in whatever order they come.  The box
+    of all features is filtered first, which reaches the scan.
+    """
+    shapes = {str(f["id"] if f.get("id") is not None else f["properties"]["id"]): f["geometry"] for f in features["features"]}
+    require_pixels(shapes, grid, extent)
+    boxes = [geo.bounds(g) for g in shapes.values()]
+    near = window(pixels, (min(b[0] for b in boxes), min(b[1] for b in boxes), max(b[2] for b in boxes), max(b[3] for b in boxes)))
+    return clip(near, areas(pixels.sparkSession, shapes, aoi_type), size)

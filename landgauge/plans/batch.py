@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from landgauge.functions import codes
 from landgauge.functions.expressions import absolute, canopy_percent, confidence_code, day_code, epoch_date, flag, label, masked, missing, natural_flag, natural_forest_code, vegetation_code, without_suffix
+from landgauge.operators.align import downscale, resample
 from landgauge.operators.reshape import melt_years, pivot_dense
 from landgauge.operators.rollup import ADMIN, admin_rollup, with_country, zonal
 from landgauge.operators.thresholds import accumulate, loss_table, unaccumulate
@@ -176,6 +177,18 @@ def gridded_emissions(fine: DataFrame, rate_kg: Column, area: Column) -> DataFra
     return fine.withColumn("emissions_Mg", absolute(rate_kg, area, 1000.0))
 
 
+def gridded_agriculture(fine: DataFrame, cropland_kg: DataFrame, livestock_kg: DataFrame, crop_ratio: int, stock_ratio: int) -> DataFrame:
+    """Cropland and livestock emissions (Mg) of each fine cell, for a table of their own.
+
+    Cropland comes as a rate (kg by area unit) on a coarse grid, livestock as
+    a total (kg) that its cells share out evenly; ``fine`` has row, col and
+    area.
+    """
+    rated = resample(fine, cropland_kg.withColumnRenamed("value", "cropland"), crop_ratio, "cropland")
+    both = downscale(rated, livestock_kg.withColumnRenamed("value", "livestock"), stock_ratio, "livestock")
+    return both.select("row", "col", absolute("cropland", "area", 1000.0).alias("cropland_Mg"), (F.coalesce(missing("livestock"), F.lit(0.0)) / 1000.0).alias("livestock_Mg"))
+
+
 def stacked(df: DataFrame, keys: list[str], layer: str, value: str, columns: list[str]) -> DataFrame:
     """The dense table of a measure stored one row a layer."""
     return pivot_dense(df, keys, layer, value, columns)

@@ -7,6 +7,9 @@ the layers as codes) for all others.
 
 from __future__ import annotations
 
+import bisect
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -75,6 +78,18 @@ def carbon_flux(r: rq.CarbonFlux, tables: Tables) -> DataFrame:
     return zonal(p, AREA, {n: F.when(canopy if "emissions" in c else forest, F.col(c)) for n, c in names.items()})
 
 
+def day_bounds(start: str, end: str) -> tuple[date, date]:
+    """First and last date whose text (YYYY-MM-DD) lies between two texts; dates compare as texts do."""
+    days = range(date(1000, 1, 1).toordinal(), date.max.toordinal() + 1)
+    text = lambda o: date.fromordinal(o).isoformat()
+    first, after = bisect.bisect_left(days, start, key=text), bisect.bisect_right(days, end, key=text)
+    return date.fromordinal(days[min(first, len(days) - 1)]), date.fromordinal(days[max(after, 1) - 1])
+
+
+def _days_after(day: date, epoch: str) -> int:
+    return (day - date.fromisoformat(epoch)).days
+
+
 _ALERT_CLASS = {"driver": "driver", "natural_lands": "natural_land_class", "grasslands": "grasslands", "land_cover": "land_cover"}
 
 
@@ -86,9 +101,10 @@ def disturbance_alerts(r: rq.DisturbanceAlerts, tables: Tables) -> DataFrame:
     """
     kind = next(iter(r.intersections), None)
     by = [_ALERT_CLASS[kind]] if kind else []
-    day = F.col("dist_alert_date")
+    first, last = day_bounds(r.start_date, r.end_date)
     if _admin(r):
-        table = tables["dist_alerts" + (f"_{kind}" if kind else "")].withColumn("dist_alert_date", date_text(day))
+        # Dates are filtered as stored, so that the scan can skip by them, and become texts last.
+        table = tables["dist_alerts" + (f"_{kind}" if kind else "")].where(F.col("dist_alert_date").between(F.lit(first), F.lit(last)))
         out, levels = None, ("country", "region", "subregion")
         for level in range(3):
             ids = r.area.at_level(level)
@@ -98,9 +114,9 @@ def disturbance_alerts(r: rq.DisturbanceAlerts, tables: Tables) -> DataFrame:
             rows = table.sparkSession.createDataFrame([(*i, ".".join(map(str, i))) for i in ids], ", ".join(["country string", "region int", "subregion int"][: level + 1] + ["aoi_id string"]))
             part = table.join(rows, list(own)).groupBy(*own, *by, "dist_alert_date", "dist_alert_confidence", "aoi_id").agg(F.sum("area_ha").cast("float").alias("area_ha"))
             out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-        out = out.withColumn("aoi_type", F.lit("admin"))
+        out = out.withColumns({"aoi_type": F.lit("admin"), "dist_alert_date": date_text("dist_alert_date")})
     else:
-        p = tables["pixels"]
+        p = tables["pixels"].where(F.col("dist_alert_date").between(*(_days_after(d, codes.DISTURBANCE_EPOCH) for d in (first, last))))
         labels = {"driver": lambda c: label(c, codes.DISTURBANCE_DRIVERS), "natural_lands": natural_flag, "grasslands": lambda c: F.when(c == codes.NATURAL_GRASSLAND, "grasslands").otherwise("non-grasslands"), "land_cover": lambda c: label(c, codes.LAND_COVER)}
         expected = {"dist_alert_confidence": list(codes.CONFIDENCE_DISTURBANCE)}
         if kind in ("driver", "land_cover"):
@@ -108,18 +124,19 @@ def disturbance_alerts(r: rq.DisturbanceAlerts, tables: Tables) -> DataFrame:
         out = zonal(p, [*AREA, *by, "dist_alert_date", "dist_alert_confidence"], {"area_ha": "area_ha"}, expected=expected)
         out = out.withColumns({"dist_alert_date": date_text(epoch_date("dist_alert_date")), "dist_alert_confidence": label("dist_alert_confidence", codes.CONFIDENCE_DISTURBANCE)} | {c: labels[kind](F.col(c)) for c in by})
         out = positive(out.groupBy(*AREA, *by, "dist_alert_date", "dist_alert_confidence").agg(F.sum("area_ha").alias("area_ha")))
-    return out.where((day >= r.start_date) & (day <= r.end_date)).orderBy("aoi_id", *by, "dist_alert_date", "dist_alert_confidence")
+    return out.orderBy("aoi_id", *by, "dist_alert_date", "dist_alert_confidence")
 
 
 def integrated_alerts(r: rq.IntegratedAlerts, tables: Tables) -> DataFrame:
     keys = ["alert_date", "alert_confidence"]
-    first, last = F.to_date(F.lit(r.start_date), "y-M-d"), F.to_date(F.lit(r.end_date), "y-M-d")
+    first, last = (date(*map(int, d.split("-"))) for d in (r.start_date, r.end_date))
     if _admin(r):
-        out = _own(tables["integrated_alerts"], r).where(F.col("alert_date").between(first, last))
+        out = _own(tables["integrated_alerts"], r).where(F.col("alert_date").between(F.lit(first), F.lit(last)))
     else:
-        rows = zonal(tables["pixels"], [*AREA, *keys], {"area_ha": F.col("area_m2") / 10_000}, expected={"alert_confidence": list(codes.CONFIDENCE)})
+        days = F.col("alert_date").between(*(_days_after(d, codes.INTEGRATED_EPOCH) for d in (first, last)))
+        rows = zonal(tables["pixels"].where(days), [*AREA, *keys], {"area_ha": F.col("area_m2") / 10_000}, expected={"alert_confidence": list(codes.CONFIDENCE)})
         out = rows.withColumns({"alert_date": epoch_date("alert_date", codes.INTEGRATED_EPOCH), "alert_confidence": label("alert_confidence", codes.CONFIDENCE)})
-        out = positive(out.where(F.col("alert_date").between(first, last)))
+        out = positive(out)
     return out.withColumn("alert_date", date_text("alert_date")).select(*AREA, *keys, "area_ha").orderBy("aoi_id", *keys)
 
 

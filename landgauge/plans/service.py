@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 import threading
@@ -11,51 +12,53 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from concurrent.futures import TimeoutError as Late
 from dataclasses import asdict
-from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from landgauge.functions.geo import geodesic_area_ha
-from landgauge.operators.spatial import AreaTooSmall
+from landgauge.operators.align import Grid
+from landgauge.operators.spatial import AreaTooSmall, of_features
 from landgauge.plans.products import PRODUCTS, columns
 from landgauge.plans.requests import Request
+from landgauge.sources import tables
 
 PENDING, SAVED, FAILED = "pending", "saved", "failed"
 TIME_LIMIT, LOCAL_LIMIT_HA = 600.0, 50_000_000.0
 
 
 class Results:
-    """Metadata, status and results as JSON files by thumbprint; features by their hash, once."""
+    """Metadata, status and results as JSON files by thumbprint; features by their hash, once.
 
-    def __init__(self, root: str | os.PathLike):
-        self.root = Path(root)
-        self.root.mkdir(parents=True, exist_ok=True)
+    ``root`` may be a folder of any store that Spark reads, so that several
+    machines share what they have computed.
+    """
+
+    def __init__(self, root: str | os.PathLike, spark: SparkSession | None = None):
+        self.root, self.spark = str(root).rstrip("/"), spark or SparkSession.builder.getOrCreate()
+
+    def _path(self, key: str, part: str) -> str:
+        return f"{self.root}/{key}.{part}.json"
 
-    def _path(self, key: str, part: str) -> Path:
-        return self.root / f"{key}.{part}.json"
+    def _write(self, path: str, body) -> None:
+        tables.write_text(self.spark, path, json.dumps(body, default=str))
 
-    def _write(self, path: Path, body) -> None:
-        new = path.with_suffix(f".{os.getpid()}-{threading.get_ident()}.tmp")
-        new.write_text(json.dumps(body, default=str))
-        new.replace(path)
+    def _read(self, path: str):
+        found = tables.read_text(self.spark, path)
+        return None if found is None else json.loads(found)
 
     def load(self, key: str) -> dict | None:
         """Status, metadata and, once saved, the result; None if unknown."""
-        if not self._path(key, "job").exists():
-            return None
-        job = json.loads(self._path(key, "job").read_text())
-        if job["status"] == SAVED:
-            job["result"] = json.loads(self._path(key, "result").read_text())
+        job = self._read(self._path(key, "job"))
+        if job is not None and job["status"] == SAVED:
+            job["result"] = self._read(self._path(key, "result"))
         return job
 
     def note(self, key: str, status: str, metadata: dict, message: str | None = None) -> None:
         area = dict(metadata.get("area") or {})
         if area.get("features"):
             body = json.dumps(area["features"], sort_keys=True, separators=(",", ":"))
-            import hashlib
-
             area["features"] = hashlib.sha256(body.encode()).hexdigest()
-            if not self._path(area["features"], "features").exists():
+            if not tables.exists(self.spark, self._path(area["features"], "features")):
                 self._write(self._path(area["features"], "features"), json.loads(body))
         self._write(self._path(key, "job"), {"status": status, "metadata": metadata | ({"area": area} if area else {}), "message": message})
 
@@ -64,10 +67,14 @@ class Results:
 
 
 class Service:
-    """Creates jobs and answers polls; the same request is computed once."""
+    """Creates jobs and answers polls; the same request is computed once.
+
+    ``sources`` gives the tables of a request.  Jobs run in the scheduler pool
+    that :func:`pool_for` names; those past their time are cancelled.
+    """
 
-    def __init__(self, tables: Callable[[Request], dict[str, DataFrame]], results: Results, inputs: dict | None = None, limit: float = TIME_LIMIT, workers: int = 4):
-        self.tables, self.results, self.inputs, self.limit = tables, results, inputs or {}, limit
+    def __init__(self, sources: Callable[[Request], dict[str, DataFrame]], results: Results, inputs: dict | None = None, limit: float = TIME_LIMIT, workers: int = 4):
+        self.sources, self.results, self.inputs, self.limit = sources, results, inputs or {}, limit
         self.pool = ThreadPoolExecutor(workers)
         self.lock = threading.Lock()
 
@@ -87,20 +94,25 @@ class Service:
         note = lambda status, message=None: self.results.note(key, status, asdict(request), message)
         worker = ThreadPoolExecutor(1)
         try:
-            result = worker.submit(self._compute, request).result(timeout=self.limit)
+            result = worker.submit(self._compute, key, request).result(timeout=self.limit)
             self.results.save(key, result)
             note(SAVED)
         except AreaTooSmall as e:
             note(FAILED, f"the area is too small for the resolution: {e}")
         except Late:
+            self.results.spark.sparkContext.cancelJobsWithTag(key)
             note(FAILED, "the analysis took too long")
         except Exception as e:  # the job's state tells, whatever it was
             note(FAILED, f"{type(e).__name__}: {str(e)[:500]}")
         finally:
             worker.shutdown(wait=False, cancel_futures=True)
 
-    def _compute(self, request: Request) -> dict:
-        out = PRODUCTS[type(request)](request, self.tables(request))
+    def _compute(self, key: str, request: Request) -> dict:
+        context = self.results.spark.sparkContext
+        context.addJobTag(key)
+        if request.area.features is not None:
+            context.setLocalProperty("spark.scheduler.pool", pool_for(request.area.features))
+        out = PRODUCTS[type(request)](request, self.sources(request))
         return {n: columns(d) for n, d in out.items()} if isinstance(out, dict) else columns(out)
 
     def poll(self, key: str) -> tuple[int, dict, dict]:
@@ -113,6 +125,17 @@ class Service:
         return 200, {"Retry-After": "1"} if job["status"] == PENDING else {}, body
 
 
+def pixel_sources(pixels: DataFrame, grid: Grid, extent: tuple[float, float, float, float], rollups: dict[str, DataFrame], size: float = 1.0) -> Callable[[Request], dict[str, DataFrame]]:
+    """The tables of any request: roll-ups for administrative areas, else pixels clipped to the request's features."""
+
+    def give(request: Request) -> dict[str, DataFrame]:
+        if request.area.features is None:
+            return rollups
+        return rollups | {"pixels": of_features(pixels, request.area.features, grid, extent, size, request.area.type)}
+
+    return give
+
+
 def chain(*handlers: tuple[Callable[[Request], bool], Callable]) -> Callable:
     """The first handler that takes a request answers it."""
 

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 #: Columns of a pixel as SQL that Spark and others read alike.
 COLUMNS = {
     "country_name": "r_name",
+    "iso": "substr(r_name, 1, 3)",
+    "lon": "CAST(105.0 AS DOUBLE) + (l_orderkey % 100) * CAST(0.00025 AS DOUBLE)",
+    "lat": "CAST(48.0 AS DOUBLE) - (l_partkey % 100) * CAST(0.00025 AS DOUBLE)",
     "country": "CAST(r_regionkey + 1 AS INT)",
     "region": "CAST(n_nationkey AS INT)",
     "subregion": "CAST(s_suppkey % 7 AS INT)",
@@ -53,13 +56,13 @@ def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def countries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "region").selectExpr("CAST(r_regionkey + 1 AS INT) AS code", "r_name AS alpha3")
+    return read(spark, sf_dir, "region").selectExpr("CAST(r_regionkey + 1 AS INT) AS code", "substr(r_name, 1, 3) AS alpha3")
 
 
 def clipped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pixels with an area each, as a clip gives them, and layers under their result names."""
     return pixels(spark, sf_dir).selectExpr(
-        "country_name AS aoi_id", "'protected_area' AS aoi_type", "area_ha", "area_m2", "loss AS tree_cover_loss_year", "canopy AS canopy_cover", "primary_code AS is_primary_forest", "intact_code AS is_intact_forest",
+        "country_name AS aoi_id", "'protected_area' AS aoi_type", "lon AS x", "lat AS y", "area_ha", "area_m2", "loss AS tree_cover_loss_year", "canopy AS canopy_cover", "primary_code AS is_primary_forest", "intact_code AS is_intact_forest",
         "driver AS tree_cover_loss_driver", "carbon AS carbon_emissions_MgCO2e", "CASE WHEN fire > 0 THEN area_ha ELSE 0D END AS tree_cover_loss_from_fires_area_ha",
         "CASE WHEN natural_lands IN (2, 5, 8, 9) THEN 1 WHEN natural_lands IN (14, 17, 18) THEN 2 ELSE 0 END AS natural_forests_class", "period AS tree_cover_gain_period", "mangrove AS mangrove_stock_2000", "gain AS tree_cover_gain_from_height",
         "carbon AS carbon_net_flux", "-area_ha AS carbon_gross_removals", "carbon AS carbon_gross_emissions", "alert_day AS dist_alert_date", "confidence AS dist_alert_confidence", "alert_day AS alert_date", "confidence AS alert_confidence",
@@ -67,6 +70,11 @@ def clipped(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def placed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pixels with coordinates and layers under their result names, not yet clipped to areas."""
+    return clipped(spark, sf_dir).drop("aoi_id", "aoi_type")
+
+
 #: Events on a grid 100 cells wide, at 0.00025 degrees, from (105, 48) down.
 X0, Y0, RESOLUTION, WIDTH = 105.0, 48.0, 0.00025, 100
 
@@ -87,3 +95,6 @@ SHAPES = {
     "diamond": {"type": "Polygon", "coordinates": [[[105.0101, 47.9999], [105.0203, 47.9871], [105.0101, 47.9753], [105.0003, 47.9871], [105.0101, 47.9999]], [[105.0081, 47.9893], [105.0121, 47.9893], [105.0121, 47.9853], [105.0081, 47.9853], [105.0081, 47.9893]]]},
     "square": {"type": "Polygon", "coordinates": [[[105.0151, 47.9991], [105.0233, 47.9991], [105.0233, 47.9951], [105.0151, 47.9951], [105.0151, 47.9991]]]},
 }
+#: The shapes as features of a request, and the box of the data.
+FEATURES = {"type": "FeatureCollection", "features": [{"type": "Feature", "id": n, "properties": {}, "geometry": s} for n, s in SHAPES.items()]}
+EXTENT = (X0, Y0 - 99 * RESOLUTION, X0 + 99 * RESOLUTION, Y0)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,6 +42,42 @@ def write_features(df: DataFrame, path: str) -> None:
     df.select(text.alias("value")).write.mode("overwrite").text(path)
 
 
+def write_collection(df: DataFrame, path: str) -> None:
+    """One GeoJSON FeatureCollection: for the few features of a check, as one file is written in one place."""
+    props = [c for c in df.columns if c != "geometry"]
+    rows = df.select(F.to_json(F.struct(*props), {"ignoreNullFields": "false"}).alias("p"), F.coalesce("geometry", F.lit("null")).alias("g")).toLocalIterator()
+    body = ",".join(f'{{"type":"Feature","properties":{r["p"]},"geometry":{r["g"]}}}' for r in rows)
+    write_text(df.sparkSession, path, f'{{"type":"FeatureCollection","features":[{body}]}}')
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file of any store that Spark reads; None if there is none."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, body: str) -> None:
+    """Write a small file aside, then put it in its place."""
+    jvm = spark._jvm
+    new, p = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp"), jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    stream = fs.create(new, True)
+    try:
+        stream.write(bytearray(body.encode()))
+    finally:
+        stream.close()
+    if not fs.rename(new, p):
+        fs.delete(p, False)
+        fs.rename(new, p)
+
+
 def sql(spark: SparkSession, text: str, tables: dict[str, DataFrame]) -> DataFrame:
     """SQL text over given tables."""
     for name, df in tables.items():

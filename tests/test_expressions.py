@@ -1,4 +1,6 @@
 import datetime
+import json
+import struct
 
 import pytest
 from hypothesis import given, settings
@@ -80,3 +82,17 @@ def test_geodesic_area_adds_up(x, y, w, h):
     whole = geo.geodesic_area_ha(box(x, y, x + w, y + h))
     parts = geo.geodesic_area_ha(box(x, y, x + w / 2, y + h)) + geo.geodesic_area_ha(box(x + w / 2, y, x + w, y + h))
     assert whole == pytest.approx(parts, rel=1e-4)
+
+
+def test_transitions_and_well_known_binary(spark):
+    df = spark.createDataFrame([(3, 8), (0, 0), (8, 1)], "a int, b int").withColumn("code", ex.transition("a", "b", 9))
+    first, last = ex.transition_parts("code", 9)
+    assert all((r.a, r.b) == (r.f, r.l) for r in df.select("a", "b", first.alias("f"), last.alias("l")).collect())
+    ring = [[0.0, 0.0], [2.0, 0.0], [2.0, 1.0], [0.0, 0.0]]
+    flat = lambda order, dims: bytes([order == "<"]) + struct.pack(order + "III", 3 + (1000 if dims == 3 else 0), 1, 4) + b"".join(struct.pack(f"{order}{dims}d", *p, *[9.0] * (dims - 2)) for p in ring)
+    want = {"type": "Polygon", "coordinates": [ring]}
+    assert geo.parse(flat("<", 2).hex()) == geo.parse(flat(">", 3).hex()) == geo.parse(json.dumps(want)) == want
+    many = bytes([1]) + struct.pack("<II", 6, 2) + flat("<", 2) + flat(">", 2)
+    assert geo.parse(many.hex()) == {"type": "MultiPolygon", "coordinates": [[ring], [ring]]}
+    with pytest.raises(ValueError, match="no area"):
+        geo.parse((bytes([1]) + struct.pack("<I2d", 1, 0, 0)).hex())

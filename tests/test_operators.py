@@ -89,11 +89,49 @@ def test_clip_agrees_with_a_direct_test_at_any_tile_size(spark):
         got = spatial.clip(px, area, size)
         on_edge = {(r.x, r.y) for r in got.collect()} ^ want
         assert all(abs(abs(x - 6) + abs(y - 6) - 3) < 1e-9 for x, y in on_edge)
-    clipped = spatial.clip(px, area, 2.0)
-    spatial.require_pixels(px, area, clipped, 0.5)
-    tiny = spatial.areas(spark, {"t": {"type": "Polygon", "coordinates": [[[1.1, 1.1], [1.2, 1.1], [1.2, 1.2], [1.1, 1.1]]]}})
-    with pytest.raises(spatial.AreaTooSmall):
-        spatial.require_pixels(px, tiny, spatial.clip(px, tiny, 2.0), 0.5)
+
+
+TINY = {"type": "Polygon", "coordinates": [[[1.1, 1.1], [1.2, 1.1], [1.2, 1.2], [1.1, 1.1]]]}
+
+
+def test_areas_without_a_pixel_centre(spark):
+    grid, extent = align.Grid(0.5, 11.5, 1.0), (0.5, 0.5, 11.5, 11.5)
+    far = {"type": "Polygon", "coordinates": [[[50, 50], [50.1, 50], [50.1, 50.1], [50, 50]]]}
+    spatial.require_pixels({"d": DIAMOND, "far": far}, grid, extent)
+    with pytest.raises(spatial.AreaTooSmall, match="in t$"):
+        spatial.require_pixels({"d": DIAMOND, "t": TINY}, grid, extent)
+    sliver = {"type": "Polygon", "coordinates": [[[0.6, 0.1], [0.9, 0.1], [0.9, 11.9], [0.6, 11.9], [0.6, 0.1]]]}
+    ring = {"type": "Polygon", "coordinates": [[[1, 1], [3, 1], [3, 3], [1, 3], [1, 1]], [[1.2, 1.2], [2.8, 1.2], [2.8, 2.8], [1.2, 2.8], [1.2, 1.2]]]}
+    assert spatial.too_small({"s": sliver, "r": ring, "d": DIAMOND}, grid, extent) == ["r", "s"]
+
+
+def test_features_keep_their_own_geometries(spark):
+    px = spark.range(144).selectExpr("id % 12 + 0.5D AS x", "11.5D - id div 12 AS y", "1.0D AS v")
+    square = lambda a: {"type": "Polygon", "coordinates": [[[a, a], [a + 2, a], [a + 2, a + 2], [a, a + 2], [a, a]]]}
+    features = {"type": "FeatureCollection", "features": [{"id": "z", "geometry": square(0)}, {"properties": {"id": 7}, "geometry": square(6)}]}
+    out = spatial.of_features(px, features, align.Grid(0.5, 11.5, 1.0), (0.5, 0.5, 11.5, 11.5), 2.0)
+    assert {(r.aoi_id, r.x, r.y) for r in out.collect()} == {("z", a, b) for a in (0.5, 1.5) for b in (0.5, 1.5)} | {("7", a, b) for a in (6.5, 7.5) for b in (6.5, 7.5)}
+
+
+def test_tiles_carry_the_edges_near_them_only(spark):
+    import math
+
+    n = 400
+    ring = [[50 + 40 * math.cos(2 * math.pi * i / n), 50 + 40 * math.sin(2 * math.pi * i / n)] for i in range(n)]
+    area = spatial.areas(spark, {"c": {"type": "Polygon", "coordinates": [[*ring, ring[0]]]}})
+    most = spatial.classify_tiles(area, 2.0).agg(F.max(F.size("edges"))).first()[0]
+    assert most < n / 8
+    px = spark.range(10_000).selectExpr("id % 100 + 0.5D AS x", "id div 100 + 0.5D AS y")
+    from landgauge.functions import geo
+
+    direct = px.join(area.select("edges")).where(geo.inside(F.col("x"), F.col("y"), F.col("edges"))).count()
+    assert spatial.clip(px, area, 2.0).count() == direct
+
+
+def test_layers_by_position(spark):
+    layer = spark.createDataFrame([(7.0, 3.0, 1.0), (8.0, 3.0, 2.0), (7.0, 2.0, 3.0)], "x double, y double, value double")
+    out = align.overwrite(layer, align.Grid(7.0, 3.0, 1.0), (1, 5))
+    assert rows(out, "row", "col", "value") == [(0, 0, 1.0), (0, 1, 2.0)]
 
 
 def test_clip_never_joins_by_nested_loop(spark):

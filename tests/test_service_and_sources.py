@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from landgauge.operators import align, spatial
 from landgauge.operators.spatial import AreaTooSmall
 from landgauge.plans import requests as rq
 from landgauge.plans import service as sv
@@ -39,11 +40,55 @@ def test_failures_are_told(pixels, tmp_path):
     assert "too small" in s.poll(s.create(rq.TreeCover(AREA), wait=True))[2]["message"]
     s = sv.Service(lambda _: time.sleep(3), sv.Results(tmp_path / "2"), limit=0.1)
     assert "too long" in s.poll(s.create(rq.TreeCover(AREA), wait=True))[2]["message"]
+    # The job that ran past its time is cancelled.
+    context = pixels.sparkSession.sparkContext
+    endless = pixels.sparkSession.range(10**13).selectExpr("string(id % 2) AS aoi_id", "'feature_collection' AS aoi_type", "5 AS canopy_cover", "double(id) AS area_ha")
+    s = sv.Service(lambda _: {"pixels": endless}, sv.Results(tmp_path / "4"), limit=3)
+    assert "too long" in s.poll(s.create(rq.TreeCover(AREA), wait=True))[2]["message"]
+    until = time.time() + 20
+    while context.statusTracker().getActiveJobsIds() and time.time() < until:
+        time.sleep(0.2)
+    assert not context.statusTracker().getActiveJobsIds()
     results = sv.Results(tmp_path / "3")
     results.note("k", sv.PENDING, {"_secret": 1, "x": 2})
     assert sv.Service(small, results).poll("k")[1:] == ({"Retry-After": "1"}, {"status": "pending", "message": None, "metadata": {"x": 2}, "result": None})
 
 
+def test_features_of_a_request_reach_the_pixels(spark, tmp_path):
+    px = spark.range(16).selectExpr("0.1D + (id % 4) * 0.2D AS x", "0.65D - (id div 4) * 0.2D AS y", "5 AS canopy_cover", "2.0D AS area_ha")
+    grid = align.Grid(0.1, 0.65, 0.2)
+    s = sv.Service(sv.pixel_sources(px, grid, (0.1, 0.05, 0.7, 0.65), {}), sv.Results(tmp_path))
+    assert s.poll(s.create(rq.TreeCover(AREA, 30), wait=True))[2]["result"] == {"aoi_id": ["a"], "aoi_type": ["feature_collection"], "area_ha": [2.0 * sum(0.1 + 0.2 * x > 0.05 + 0.2 * y for x in range(4) for y in range(4))]}
+    tiny = rq.Area("feature_collection", features={"type": "FeatureCollection", "features": [{"id": "t", "geometry": {"type": "Polygon", "coordinates": [[[0.15, 0.15], [0.2, 0.15], [0.2, 0.2], [0.15, 0.15]]]}}]})
+    assert "too small" in s.poll(s.create(rq.TreeCover(tiny, 30), wait=True))[2]["message"]
+
+
+def test_layouts_save_shuffles_and_row_groups(spark, tmp_path):
+    cells = spark.range(4000).selectExpr("int(id div 100) AS row", "int(id % 100) AS col", "double(id) AS value")
+    for name in ("layer_a", "layer_b"):
+        tables.bucketed(cells.withColumnRenamed("value", name), name, 4, ["row", "col"])
+    joined = spark.table("layer_a").hint("merge").join(spark.table("layer_b"), ["row", "col"])
+    assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString() and joined.count() == 4000
+    px = spatial.with_tile(cells.selectExpr("col + 0.5D AS x", "row + 0.5D AS y", "value"), 10.0)
+    tables.by_tile(px, str(tmp_path / "tiles"), 4)
+    own = spark.read.parquet(str(tmp_path / "tiles"))
+    near = spatial.window(own, (0.0, 0.0, 9.9, 9.9))
+    assert "PushedFilters: [IsNotNull(x), IsNotNull(y), GreaterThanOrEqual(x" in near._jdf.queryExecution().executedPlan().toString()
+    # Tiles of one row of tiles stand in as few files as can hold them.
+    files = own.select("tile_y", F.input_file_name().alias("f")).distinct().groupBy("tile_y").count()
+    assert max(r["count"] for r in files.collect()) <= 2
+
+
+def test_feature_collections(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1.5, '{"type":"Point","coordinates":[1,2]}'), ("b", None, None)], "feature_id string, v double, geometry string")
+    tables.write_collection(df, str(tmp_path / "c.geojson"))
+    found = json.loads((tmp_path / "c.geojson").read_text())
+    assert found["type"] == "FeatureCollection" and [f["properties"] for f in found["features"]] == [{"feature_id": "a", "v": 1.5}, {"feature_id": "b", "v": None}]
+    assert found["features"][0]["geometry"] == {"type": "Point", "coordinates": [1, 2]} and found["features"][1]["geometry"] is None
+    assert tables.features(spark, str(tmp_path / "c.geojson"), "feature_id string").count() == 2
+    assert tables.read_text(spark, str(tmp_path / "none")) is None
+
+
 def test_routing_and_roles():
     handle = sv.chain((lambda r: r.area.type == "admin", lambda r: "table"), (lambda r: True, lambda r: "pixels"))
     assert handle(rq.NaturalLands(rq.Area("admin", ("BRA",)))) == "table" and handle(rq.NaturalLands(AREA)) == "pixels"
