@@ -177,15 +177,15 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     sources, repeated rows and extra columns are kept as they are; an empty
     table gives no rows.
     """
-    times = mix(docs, **options).groupBy("h1", "h2").agg(F.sum(F.when(F.col("size") > 0, F.expr("taken div size")).otherwise(0)).alias("__times"), F.count("*").alias("__n"))
-    times = materialize(times.withColumnsRenamed({"h1": "__h1", "h2": "__h2"}).where("__times > 0"))
-    keys = ["__h1", "__h2"]
-    rows = docs.select("*", *row_key(docs, *keys))
+    times = mix(docs, **options).groupBy("h1", "h2").agg(F.sum(F.when(F.col("size") > 0, F.expr("taken div size")).otherwise(0)).alias("times"), F.count("*").alias("n"))
+    times = materialize(times.where("times > 0"))
+    keys = ["h1", "h2"]
+    rows = docs.select(F.struct("*").alias("row"), *row_key(docs, *keys))
     # A merge at every size: how the texts are dealt does not depend on the size of the choices.
-    single = rows.join(times.where("__n = 1").hint("merge"), keys)
-    several = rows.join(times.where("__n > 1").select(*keys), keys, "left_semi").dropDuplicates(keys).join(times.where("__n > 1"), keys)
+    single = rows.join(times.where("n = 1").hint("merge"), keys)
+    several = rows.join(times.where("n > 1").select(*keys), keys, "left_semi").dropDuplicates(keys).join(times.where("n > 1"), keys)
     out = single.unionByName(several)
-    return out.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col("__times").cast("int")))).select(*docs.columns)
+    return out.select("row", F.explode(F.array_repeat(F.lit(0), F.col("times").cast("int")))).select("row.*")
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

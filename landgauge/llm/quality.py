@@ -131,8 +131,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> n
 def scored(docs: DataFrame, weights: np.ndarray, keep: list[str], name: str = "score") -> DataFrame:
     """The columns ``keep`` of ``docs`` with the score under ``name``."""
     given = docs.sparkSession.sparkContext.broadcast(weights)
-    rows = docs.select(*keep, text_of().alias("__text"))
-    schema = rows.drop("__text").withColumn(name, F.lit(0.0)).schema
+    schema = docs.select(*keep).withColumn(name, F.lit(0.0)).schema
+    rows = docs.select(*keep, text_of().alias("_" * 9 + "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = given.value

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landgauge.llm.common import hex16, materialize, table, text_of
+from landgauge.llm.common import hex16, materialize, row_key, table, text_of
 from landgauge.llm.near_copies import alike, text_key
 
 RADIUS, SHINGLE, SEED, BITS = 4, 4, 42, 64
@@ -274,17 +274,24 @@ def keep_first(docs: DataFrame) -> DataFrame:
     Texts are alike if they have the same words, or if their five-word
     shingles have a Jaccard index of at least 0.8; chains of like texts are
     one class.  The row with the smallest id stays, rows without an id last,
-    ties by a hash of the text.
+    ties by a hash of the text; of rows equal in all columns one stays.  Null
+    texts count as empty, all empty texts as alike; very long ones are
+    compared whole; an empty table gives no rows; other columns, whatever
+    their names, are kept as they are.
     """
     order = F.struct(F.col("doc_id").isNull().alias("nameless"), F.col("doc_id").cast("long").alias("id"), F.xxhash64(text_of()).alias("h"))
-    first = docs.groupBy(text_key().alias("__u")).agg(F.min_by(F.struct(*docs.columns), order).alias("row"))
-    first = materialize(first.select("__u", "row.*"))
-    found = alike(first.select(F.col("__u").alias("u"), text_of().alias("text")), components)
-    member = found.select(F.col("node").alias("__u"), "root").unionByName(found.select(F.col("root").alias("__u"), "root").distinct())
-    ranked = materialize(first.select("__u", order.alias("at")).join(member, "__u"))
-    best = ranked.groupBy("root").agg(F.min(F.struct("at", "__u")).alias("best"))
-    others = ranked.join(best, "root").where(F.col("__u") != F.col("best.__u")).select("__u")
-    return first.join(others, "__u", "left_anti").select(*docs.columns)
+    keys = row_key(docs, "h1", "h2")
+    # All is decided on keys and hashes; rows are dealt once, to be joined with those that stay.
+    first = docs.select(text_key().alias("u"), order.alias("at"), *keys).groupBy("u").agg(F.min(F.struct("at", "h1", "h2")).alias("first"))
+    first = materialize(first.select("u", "first.*"))
+    found = alike(docs.select(text_key().alias("u"), text_of().alias("text")), components)
+    member = found.select(F.col("node").alias("u"), "root").unionByName(found.select(F.col("root").alias("u"), "root").distinct())
+    ranked = materialize(first.select("u", "at").join(member, "u"))
+    best = ranked.groupBy("root").agg(F.min(F.struct("at", "u")).alias("best"))
+    others = ranked.join(best, "root").where(F.col("u") != F.col("best.u")).select("u")
+    kept = materialize(first.join(others, "u", "left_anti").select("h1", "h2"))
+    rows = docs.select(F.struct("*").alias("row"), *keys).join(kept.hint("merge"), ["h1", "h2"], "left_semi")
+    return rows.dropDuplicates(["h1", "h2"]).select("row.*")
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
