@@ -1,13 +1,13 @@
 """Token counts by the whole-token shortcut.
 
 A byte-pair vocabulary never merges across a character pair that no
-vocabulary string contains.  :class:`PieceCounter` proves two things from the
-vocabulary alone, before it sees a text: that no string holds a space marker
-behind another character, nor a line feed, so that words (with the spaces
-before them) and line feeds are counted independently; and which strings
-encode, alone, as exactly one token.  Words that match such a string count one
-without any merging; the library merges only the rest, each distinct word
-once as long as the memo holds it.
+vocabulary string contains.  :func:`prove` proves two things from the
+vocabulary alone, once, before any text is seen: that no string holds a space
+marker behind another character, nor a line feed, so that words (with the
+spaces before them) and line feeds are counted independently; and which
+strings encode, alone, as exactly one token.  The proof is broadcast.  Words
+that match such a string count one without any merging; the library merges
+only the rest, each distinct word once as long as the memo holds it.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from __future__ import annotations
 import functools
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -46,35 +47,45 @@ class _Memo(dict):
         return n
 
 
+@dataclass(frozen=True)
+class Proof:
+    """Whether words and line feeds may be counted apart, and the strings of one token each: after a space, with it, and at a line's start."""
+
+    separable: bool
+    led: dict[str, int]
+    bare: dict[str, int]
+
+
+@functools.lru_cache(maxsize=2)
+def prove(path: str) -> Proof:
+    """From the vocabulary at ``path`` alone."""
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    encode = lambda text: library.encode(text, out_type=str)
+    strings = [library.id_to_piece(i) for i in range(library.get_piece_size())]
+    plain = [s for i, s in enumerate(strings) if not (library.is_control(i) or library.is_byte(i) or library.is_unknown(i))]
+    if any(MARK in s.lstrip(MARK) or " " in s or "\n" in s for s in plain) or len(encode("\n")) != 2:
+        return Proof(False, {}, {})
+    led = {s.replace(MARK, " "): 1 for s in plain if s.startswith(MARK) and s.strip(MARK) and encode(s[1:].replace(MARK, " ")) == [s]}
+    return Proof(True, led, {s: 1 for s in plain if MARK not in s and encode("\n" + s)[2:] == [s]})
+
+
 class PieceCounter:
     """Counts exactly the tokens that ``sentencepiece`` encodes a text to."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, proof: Proof | None = None):
         import sentencepiece
 
         self.library = sentencepiece.SentencePieceProcessor(model_file=path)
-        n = self.library.get_piece_size()
-        strings = [self.library.id_to_piece(i) for i in range(n)]
-        plain = [s for i, s in enumerate(strings) if not (self.library.is_control(i) or self.library.is_byte(i) or self.library.is_unknown(i))]
-        #: Whether words and line feeds may be counted apart.
-        self.separable = not any(MARK in s.lstrip(MARK) or " " in s or "\n" in s for s in plain) and len(self._encode("\n")) == 2
-        led: dict[str, int] = {}
-        bare: dict[str, int] = {}
-        if self.separable:
-            for s in plain:
-                if s.startswith(MARK) and s.strip(MARK) and self._encode(s[1:].replace(MARK, " ")) == [s]:
-                    led[s.replace(MARK, " ")] = 1
-                elif MARK not in s and self._encode("\n" + s)[2:] == [s]:
-                    bare[s] = 1
+        proof = proof or prove(path)
+        self.separable = proof.separable
         #: Words by their strings after one space, with any spaces before them, and at a line's start.
-        self.after_space = _Memo({w[1:]: 1 for w in led if w.count(" ") == 1}, lambda w: len(self._ids(w)))
-        self.spaced = _Memo(dict(led), lambda w: len(self._ids("\n" + w)) - 2)
-        self.at_line_start = _Memo(bare, lambda w: len(self._ids("\n" + w)) - 2)
+        self.after_space = _Memo({w[1:]: 1 for w in proof.led if w.count(" ") == 1}, lambda w: len(self._ids(w)))
+        self.spaced = _Memo(dict(proof.led), lambda w: len(self._ids("\n" + w)) - 2)
+        self.at_line_start = _Memo(dict(proof.bare), lambda w: len(self._ids("\n" + w)) - 2)
         self.runs = re.compile(r" *[^ ]+| +")
 
-    def _encode(self, text: str) -> list[str]:
-        return self.library.encode(text, out_type=str)
-
     def _ids(self, text: str) -> list[int]:
         return self.library.encode(text)
 
@@ -103,24 +114,40 @@ class PieceCounter:
         return total
 
 
-@functools.lru_cache(maxsize=2)
 def counter(path: str | None = None) -> PieceCounter:
+    return PieceCounter(_path(path))
+
+
+def _path(path: str | None) -> str:
     if path is None:
         import public_tokenizers
 
         path = public_tokenizers.path(VOCABULARY)
-    return PieceCounter(path)
+    return path
+
+
+#: The counter of a Python worker, by vocabulary: its memo serves all tasks.
+_COUNTERS: dict[str, PieceCounter] = {}
+
+
+def _own_counter(path: str, proof: Proof) -> PieceCounter:
+    if path not in _COUNTERS:
+        _COUNTERS[path] = PieceCounter(path, proof)
+    return _COUNTERS[path]
 
 
 def token_counts(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit of every row of ``docs``.
 
-    Null texts count as empty (0 tokens); null ids stay null; repeated rows
-    give repeated results; other columns are not read.
+    Null texts count as empty (0 tokens); very long texts are counted whole,
+    a line at a time; null ids stay null; repeated rows give repeated results;
+    an empty table gives no rows; other columns are not read.
     """
+    given = _path(path)
+    proof = docs.sparkSession.sparkContext.broadcast(prove(given))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = counter(path)
+        c = _own_counter(_path(path), proof.value)
         for b in batches:
             n = [c.count(t) for t in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
