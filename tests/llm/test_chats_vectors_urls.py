@@ -1,5 +1,6 @@
 import collections
 import hashlib
+import re
 
 import duckdb
 import numpy as np
@@ -20,7 +21,10 @@ def digests(turns):
     turns = sorted(turns, key=lambda t: t[0])
     s, learnt = "".join(f"{r}\n{x}\n" for _, r, x in turns), "".join(x for _, r, x in turns if r == "assistant")
     sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
-    return (len(turns), sha(s), len(learnt), sha(learnt))
+    # The template's own strings, and an escape after each control string's first character and each escape.
+    marks = lambda x: len(x) + x.count("\x1b") + len(re.findall(ct.CONTROL, x.replace("\x1b", "\x1b\x1b")))
+    chars = sum(len(ct.TURN + ct.TEXT + ct.END) + marks(r) + marks(x) for _, r, x in turns)
+    return (len(turns), sha(s), len(learnt), sha(learnt), chars)
 
 
 @settings(max_examples=6, deadline=None)
@@ -35,7 +39,7 @@ def check(spark, rows):
     want = collections.defaultdict(list)
     for c, k, r, t in [*rows, *ct.PROBE]:
         want[c].append((k, r or "", t or ""))
-    assert {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in out} == {c: digests(t) for c, t in want.items()}
+    assert {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256, r.formatted_chars) for r in out} == {c: digests(t) for c, t in want.items()}
     assert len(out) == len(want)
     return out
 
@@ -67,7 +71,7 @@ def test_shared_turns_stand_once_and_intervals_lead_to_them(spark):
             if reach and reach[-1][1] == a:
                 a = reach.pop()[0]
             reach.append((a, z))
-        assert [tuple(i) for i in r.intervals] == reach and (r.starts or [a for a, _ in chain[::-1]]) == [a for a, _ in chain[::-1]] and r.position == sum(z - a for a, z in chain[1:]) and r.depth == len(chain) - 1
+        assert [tuple(i) for i in r.intervals] == reach and r.position == sum(z - a for a, z in chain[1:]) and r.depth == len(chain) - 1
         if r.parent:
             assert by[r.parent].offset < r.offset
     stack = []
@@ -78,6 +82,12 @@ def test_shared_turns_stand_once_and_intervals_lead_to_them(spark):
         stack.append(r.node)
 
 
+def test_a_long_conversation_and_its_copies(spark):
+    long = [(1, k, ["user", "assistant"][k % 2], f"turn {k % 7}") for k in range(3000)]
+    copies = [(c, k, r, t) for c in range(2, 30) for _, k, r, t in long[:40]]
+    check(spark, long + copies)
+
+
 def test_chat_edges(spark):
     rows = [(1, 1, "assistant", None), (1, 0, None, "x"), (2, None, "user", "late"), (2, 5, "user", "early"), (None, 0, "user", "nobody"), (3, 0, "user", "y" * 100_000), (4, 0, "assistant", "twice"), (4, 0, "assistant", "twice")]
     df = spark.createDataFrame([(*r, 1) for r in rows], CHAT + ", segment int")
