@@ -14,7 +14,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,8 +25,8 @@ SIZE = (1 << WORD_BITS) + (1 << SHAPE_BITS)
 #: Most labelled rows that are fitted, taken in the order of a hash of their ids.
 SAMPLE_ROWS = 6000
 EPOCHS, ALPHA, BETA, L1, L2 = 4, 0.5, 1.0, 1e-4, 1e-4
-#: Distinct words whose hashes a Python worker remembers.
-MEMO_WORDS = 300_000
+#: Distinct words whose hashes a Python worker remembers; texts scored at a time.
+MEMO_WORDS, SLAB = 150_000, 256
 _REPEAT = zlib.crc32(b"repeat")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -72,15 +71,16 @@ def train(texts: list[str], labels: list[int]) -> np.ndarray:
     z, n = np.zeros(SIZE + 1), np.zeros(SIZE + 1)
     rows = []
     for t in texts:
-        i, c = np.unique(features(t), return_counts=True)
-        rows.append((np.append(i, SIZE), np.append(c / max(1, len(t.split())), 1.0)))
+        i, c = np.unique(features(t).astype(np.int32), return_counts=True)
+        rows.append((np.append(i, np.int32(SIZE)), c.astype(np.int32), max(1, len(t.split()))))
 
     def weights(i):
         w = -(z[i] - np.sign(z[i]) * L1) / ((BETA + np.sqrt(n[i])) / ALPHA + L2)
         return np.where(np.abs(z[i]) <= L1, 0.0, w)
 
     for _ in range(EPOCHS):
-        for (i, x), y in zip(rows, labels, strict=True):
+        for (i, c, words), y in zip(rows, labels, strict=True):
+            x = np.append(c / words, 1.0)
             w = weights(i)
             p = 1 / (1 + np.exp(-np.clip(w @ x, -35, 35)))
             g = (p - y) * x
@@ -120,11 +120,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> n
     # An id that many rows share counts once, by its first text; partial sums reduce it before rows meet.
     rows = rows.groupBy("doc_id", "turn", "quality").agg(F.min("text").alias("text"))
 
-    def one(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["turn", "doc_id"])
-        return pd.DataFrame({"weights": [train(rows["text"].tolist(), rows["quality"].tolist()).tobytes()]})
+    def one(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("turn", "ascending"), ("doc_id", "ascending")])
+        return pa.table({"weights": pa.array([train(rows["text"].to_pylist(), rows["quality"].to_pylist()).tobytes()], pa.binary())})
 
-    found = rows.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(one, "weights binary").collect()
+    found = rows.withColumn("all", F.lit(0)).groupBy("all").applyInArrow(one, "weights binary").collect()
     return np.frombuffer(bytes(found[0][0]), np.float32) if found else np.zeros(SIZE + 1, np.float32)
 
 
@@ -137,8 +137,10 @@ def scored(docs: DataFrame, weights: np.ndarray, keep: list[str], name: str = "s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = given.value
         for b in batches:
-            s = pa.array([score(w, t) for t in b.column(len(keep)).to_pylist()], pa.float64())
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], s], [*keep, name])
+            # A few texts at a time are Python objects.
+            texts = b.column(len(keep))
+            s = [score(w, t) for at in range(0, len(texts), SLAB) for t in texts.slice(at, SLAB).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(s, pa.float64())], [*keep, name])
 
     return rows.mapInArrow(run, schema)
 
