@@ -181,7 +181,12 @@ def _signed(x: int) -> int:
 
 
 def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """a, b: a spanning forest of the links in each bucket of distinct ``fp``."""
+    """a, b: a spanning forest of the links in each bucket of distinct ``fp``.
+
+    ``fps`` has each fingerprint once and no null; other columns are not read;
+    an empty table gives no links.  Buckets of any size are compared whole, as
+    pairs of chunks where they are large.
+    """
     n = fps.count()
     masks = F.array(*(F.lit(_signed(m)) for m in _tables(n, radius)))
     rows = fps.select("fp", F.posexplode(masks).alias("table", "mask")).select("fp", "table", F.col("fp").bitwiseAND(F.col("mask")).alias("key"))
@@ -225,6 +230,8 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """node, root: the smallest node that each node of ``edges`` (a, b) reaches.
 
+    Repeated edges and loops do no harm, nulls must not occur, and an empty
+    table gives no rows; a node without an edge to another is not listed.
     Alternates the large-star and small-star steps until nothing changes;
     each round is an aggregation and a join, and is written.
     """
@@ -251,7 +258,8 @@ def _mark(edges: DataFrame) -> tuple:
 def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """doc_id, fp, component_id of every row of ``docs``.
 
-    Null texts count as empty (fingerprint zero, linked like any other);
+    Null texts count as empty (fingerprint zero, linked like any other); very
+    long texts are hashed whole; an empty table gives no rows;
     ``component_id`` is the smallest doc_id that a row reaches through links,
     null ids aside: it is null only where no row of the class has an id.
     Repeated rows give repeated results; other columns are not read.
