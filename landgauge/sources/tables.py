@@ -113,6 +113,14 @@ def by_tile(df: DataFrame, path: str, partitions: int, tile: tuple = ("tile_y",
     df.repartitionByRange(partitions, *tile).sortWithinPartitions(*tile).write.mode("overwrite").parquet(path)
 
 
+def write_cube(df: Callable[[], DataFrame], spark: SparkSession, path: str, partitions: int, overwrite: bool = False, tile: tuple = ("tile_y", "tile_x")) -> bool:
+    """A derived layer, written once and in the order of its tiles; tells whether it wrote."""
+    if not overwrite and exists(spark, f"{path}/_SUCCESS"):
+        return False
+    by_tile(df(), path, partitions, tile)
+    return True
+
+
 def mark_latest(spark: SparkSession, folder: str, version: str) -> None:
     spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/latest")
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from landgauge.operators import align, spatial
 from landgauge.operators.spatial import AreaTooSmall
+from landgauge.plans import batch
 from landgauge.plans import requests as rq
 from landgauge.plans import service as sv
 from landgauge.sources import rasters, tables
@@ -79,6 +80,23 @@ def test_layouts_save_shuffles_and_row_groups(spark, tmp_path):
     assert max(r["count"] for r in files.collect()) <= 2
 
 
+def test_a_derived_cube_is_written_once_by_tile(spark, tmp_path):
+    fine = spark.range(64).selectExpr("int(id div 8) AS row", "int(id % 8) AS col", "2.0D AS area")
+    coarse = lambda n, v: spark.range((8 // n) ** 2).selectExpr(f"int(id div {8 // n}) AS row", f"int(id % {8 // n}) AS col", f"double({v}) AS value")
+    calls = []
+
+    def make():
+        calls.append(1)
+        cells = batch.gridded_agriculture(fine, coarse(4, 500), coarse(2, 400), 4, 2)
+        return cells.withColumns({"tile_y": F.floor(F.col("row") / 4), "tile_x": F.floor(F.col("col") / 4)})
+
+    path = str(tmp_path / "cube")
+    assert tables.write_cube(make, spark, path, 2) and not tables.write_cube(make, spark, path, 2) and len(calls) == 1
+    out = spark.read.parquet(path)
+    # 500 kg by area unit over 2 units; 400 kg shared by 4 cells.
+    assert {(r.cropland_Mg, r.livestock_Mg) for r in out.collect()} == {(1.0, 0.1)} and out.count() == 64
+
+
 def test_feature_collections(spark, tmp_path):
     df = spark.createDataFrame([("a", 1.5, '{"type":"Point","coordinates":[1,2]}'), ("b", None, None)], "feature_id string, v double, geometry string")
     tables.write_collection(df, str(tmp_path / "c.geojson"))
