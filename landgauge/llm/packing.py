@@ -12,7 +12,6 @@ dealt anew over fewer partitions and packed again, as long as that saves bins.
 from __future__ import annotations
 
 import functools
-import itertools
 import json
 import re
 import zlib
@@ -31,7 +30,7 @@ CAPACITY, END = 1024, 2
 PART_ROWS = 8192
 VOCABULARY = "byte_bpe_50k.json"
 #: Distinct words that a Python worker remembers, the longest such word, texts encoded at a time, and words of one call.
-MEMO_WORDS, MEMO_CHARS, SLAB, LINES = 1_000_000, 64, 1024, 200
+MEMO_WORDS, MEMO_CHARS, SLAB, LINES = 300_000, 64, 1024, 200
 #: White space of any library, and format characters next to which no text is cut.
 _WHITE = r"[\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200d}\x{2028}\x{2029}\x{202f}\x{205f}\x{2060}\x{3000}\x{feff}]"
 
@@ -65,7 +64,8 @@ class Encoder:
         #: Whether texts may be cut as above; lines of one call are told apart by the id of the line feed.
         self.separable = given["normalizer"] is None and before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space", True) and len(self.feed) == 1
         self.together = "|".join([rf"{_WHITE}{{2}}", rf"\A{_WHITE}", rf"{_WHITE}\z", r"[\x{0}\x{1}]", *map(re.escape, special)])
-        self.memo: dict[str, list[int]] = {}
+        #: Ids of each part, four bytes an id.
+        self.memo: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
@@ -76,8 +76,7 @@ class Encoder:
         for p in parts:
             plain = p[1:] if p[0] in "\0\1\n" else p
             if plain.isascii() and plain.isalpha():
-                ids = [t.id for t in self.model.tokenize(plain if len(plain) < len(p) else self.space + plain)]
-                self.memo[p] = [*self.feed, *ids] if p[0] == "\n" else ids
+                self._keep(p, [t.id for t in self.model.tokenize(plain if len(plain) < len(p) else self.space + plain)])
             else:
                 other.append(p)
         for at in range(0, len(other), LINES):
@@ -85,9 +84,12 @@ class Encoder:
             ids = self._whole("\n".join(p[1:] if p[0] in "\0\1\n" else " " + p for p in some))
             a = 0
             for p, z in zip(some, [*(i for i, x in enumerate(ids) if x == self.feed[0]), len(ids)], strict=True):
-                self.memo[p] = [*self.feed, *ids[a:z]] if p[0] == "\n" else ids[a:z]
+                self._keep(p, ids[a:z])
                 a = z + 1
 
+    def _keep(self, part: str, ids: list[int]) -> None:
+        self.memo[part] = np.array([*self.feed, *ids] if part[0] == "\n" else ids, "<u4").tobytes()
+
     def many(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text."""
         whole = pc.match_substring_regex(texts, self.together).to_numpy(zero_copy_only=False) if self.separable else np.ones(len(texts), bool)
@@ -108,8 +110,8 @@ class Encoder:
         for p in parts:
             if len(p) > MEMO_CHARS:
                 del self.memo[p]
-        n = np.fromiter(map(len, known), np.int64, len(known))
-        flat, starts = np.fromiter(itertools.chain.from_iterable(known), "<u4", int(n.sum())), np.cumsum(n) - n
+        n = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        flat, starts = np.frombuffer(b"".join(known), "<u4"), np.cumsum(n) - n
         ends = np.cumsum(n[index])
         ids = flat[np.repeat(starts[index] - ends + n[index], n[index]) + np.arange(ends[-1])]
         bounds = np.r_[0, ends][lists.offsets.to_numpy() - lists.offsets[0].as_py()].tolist()

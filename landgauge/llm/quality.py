@@ -26,7 +26,7 @@ SIZE = (1 << WORD_BITS) + (1 << SHAPE_BITS)
 SAMPLE_ROWS = 6000
 EPOCHS, ALPHA, BETA, L1, L2 = 4, 0.5, 1.0, 1e-4, 1e-4
 #: Distinct words whose hashes a Python worker remembers; texts scored at a time.
-MEMO_WORDS, SLAB = 150_000, 256
+MEMO_WORDS, SLAB = 100_000, 256
 _REPEAT = zlib.crc32(b"repeat")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
