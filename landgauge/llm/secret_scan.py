@@ -53,8 +53,9 @@ PIECES = (
     "stream string style system table target task team template test text theme thread time title token total tree type unit update upload user value "
     "version video view week width window word work world write year your zone "
 ).split()
-#: Words of a dictionary taken from a corpus (those in most documents), and their lengths.
-DICTIONARY_WORDS, SHORTEST, LONGEST = 20_000, 4, 12
+#: Words of a dictionary taken from a corpus (those in most documents), the least share of its documents that a word stands in (so that
+#: what is ranked has a bounded size, whatever the input), and the words' lengths.
+DICTIONARY_WORDS, DICTIONARY_SHARE, SHORTEST, LONGEST = 20_000, 1e-3, 4, 12
 
 
 class Dictionary:
@@ -75,9 +76,12 @@ class Dictionary:
 
 
 def dictionary(docs: DataFrame, most: int = DICTIONARY_WORDS) -> Dictionary:
-    """The ``most`` words that stand in most documents, over all of ``docs``; ties by the word."""
+    """The ``most`` words that stand in most documents, over all of ``docs``; ties by the word.
+
+    Words of a single document, or of under a thousandth of all, are left out.
+    """
     found = F.array_distinct(F.regexp_extract_all(F.lower(text_of()), F.lit(rf"\b[a-z]{{{SHORTEST},{LONGEST}}}\b"), 0))
-    counted = docs.select(F.explode(found).alias("word")).groupBy("word").count().where("count > 1")
+    counted = docs.select(F.explode(found).alias("word")).groupBy("word").count().where(F.col("count") >= max(2, docs.count() * DICTIONARY_SHARE))
     return Dictionary(r["word"] for r in counted.orderBy(F.desc("count"), "word").limit(most).collect())
 
 
