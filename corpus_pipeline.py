@@ -37,6 +37,9 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def unlike(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: five-word shingles, a Jaccard index of at least 0.8.
 
+    SimHash fingerprints are compared bit-sliced and joined by star
+    contraction, as in op9, at a radius wide enough for that index; an exact
+    check on whole sets follows.
     Null and empty texts, and those that differ in ASCII case and white space
     only, are copies; very long texts are compared whole; the smallest id
     stays, rows without one last, ties by a hash of the text; of repeated rows

@@ -1,36 +1,42 @@
 """All pairs of texts whose sets of five-word shingles have a Jaccard index of at least 0.8.
 
-Prefix filtering, without loss: where every set is written in one global
-order (the rarer a shingle in a sample the earlier, ties by hash), two sets
-that are alike share a shingle among the first fifth of each.  Those first
-shingles are dealt by shingle; what meets there is cut by size, by position
-and by the distance of SimHash fingerprints, and the pairs left are confirmed
-on the whole sets.  Texts themselves are dealt for the confirmation only.
+SimHash by bit-sliced comparison, as in :mod:`landgauge.llm.simhash`, at a
+radius that no table of bit blocks serves: buckets are first shingles instead.
+Where every set is written in one global order (the rarer a shingle in a
+sample the earlier, ties by hash), two sets that are alike share a shingle
+among the first fifth of each, so no pair is lost.  Fingerprints that share a
+bucket are compared bit-sliced, each bucket yields a spanning forest, and star
+contraction joins the forests to blocks.  An exact check follows: within each
+block, whole sets are compared, and its true classes yield a spanning forest
+again.  No step lists pairs.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landgauge.llm.common import WORD, materialize, text_of
+from landgauge.llm.simhash import compared, components, in_pairs
 
 #: Words of a shingle; the least Jaccard index, as a fraction.
 WORDS, OVER, UNDER = 5, 4, 5
 #: Texts whose shingles are counted for the global order, and the count from which one is put off.
 SAMPLE_ROWS, OFTEN = 50_000, 3
-#: Neighbours in a run that each text is compared with at first, if the run has no more; of longer runs one in FEW gives each text's next
-#: neighbour, as all of their rows are compared again. Pairs looked at together.
-NEIGHBOURS, FEW, AT_ONCE = 2, 4, 1 << 20
-#: Differing bits of fingerprints from which two texts of at least LARGE shingles are taken for unlike.  At an index of 0.8 about 10 of 64 bits
-#: differ, with a standard deviation of 3: more than 24 with a chance of under one in a million.  Smaller texts are all confirmed.
-FAR, LARGE = 24, 32
+#: Longs of a fingerprint, and the differing bits (of 256) up to which two may be those of alike sets.  At an index of 0.8 a bit differs with a
+#: chance of at most 0.162, of 0.1875 for sets of four and five: more than FAR do with a chance of under one in a billion.  Unlike sets: about 128.
+LONGS, FAR = 4, 88
+#: Buckets and blocks above this are compared as pairs of chunks. Shingles whose bits are counted in bytes.
+CHUNK_ROWS, SLAB = 8192, 255
 SEED = 42
 
+_PRINT = pa.list_(pa.int64())
+
 _ASCII = bytes(c + 32 if 65 <= c <= 90 else 32 if 9 <= c <= 13 else c for c in range(256))
 
 
@@ -59,9 +65,14 @@ def prefix(found: np.ndarray, often: np.ndarray, count: np.ndarray) -> np.ndarra
 
 
 def simhash(found: np.ndarray) -> np.ndarray:
-    """A fingerprint bit is set if in over half of a set's hashes."""
-    bits = np.unpackbits(found.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return np.packbits(bits * 2 > len(found), bitorder="little").view("<i8")[0]
+    """256 bits, as longs; a bit is set if in over half of a set's hashes, each mixed once for every long."""
+    h = found[:, None] + np.arange(LONGS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for shift, times in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        h = (h ^ (h >> np.uint64(shift))) * np.uint64(times)
+    h ^= h >> np.uint64(31)
+    bits = np.unpackbits(h.astype("<u8").view(np.uint8), axis=1, bitorder="little")
+    count = np.add.reduceat(bits, np.arange(0, len(bits), SLAB), axis=0, dtype=np.uint8).sum(axis=0, dtype=np.int64)
+    return np.packbits(count * 2 > len(found), bitorder="little").view("<i8")
 
 
 def text_key() -> Column:
@@ -70,14 +81,14 @@ def text_key() -> Column:
 
 
 def _sets(texts: DataFrame) -> DataFrame:
-    """u, found (the shingles of each text, as signed 64 bits): copies in one task once."""
+    """The rows of ``texts`` (u first, text last) with found, the shingles as signed 64 bits, for text: copies in one task once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _unseen(batches):
-            found = [shingles(t or "").view(np.int64) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(pa.int64()))], ["u", "found"])
+            found = [shingles(t or "").view(np.int64) for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(found, pa.list_(pa.int64()))], [*b.schema.names[:-1], "found"])
 
-    return texts.select("u", "text").mapInArrow(run, "u long, found array<long>")
+    return texts.mapInArrow(run, ", ".join(f"{c} long" for c in texts.columns[:-1]) + ", found array<long>")
 
 
 def _unseen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,19 +103,12 @@ def _unseen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _often(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """The shingles that stand in ``OFTEN`` texts of a sample, and in how many."""
     some = texts.where(F.pmod(F.xxhash64("u"), F.lit(max(1, texts.count() // SAMPLE_ROWS))) == 0)
-    rows = _sets(some.dropDuplicates(["u"])).select(F.explode("found").alias("s")).groupBy("s").count().where(F.col("count") >= OFTEN).toArrow()
+    rows = _sets(some.dropDuplicates(["u"]).select("u", "text")).select(F.explode("found").alias("s")).groupBy("s").count().where(F.col("count") >= OFTEN).toArrow()
     s, count = rows["s"].to_numpy().astype(np.int64).view(np.uint64), rows["count"].to_numpy()
     order = np.argsort(s)
     return s[order], count[order]
 
 
-def _possible(m_a, p_a, f_a, m_b, p_b, f_b) -> np.ndarray:
-    """Whether sets of ``m_a`` <= ``m_b`` can be alike whose first common shingle stands at ``p_a`` and ``p_b``, fingerprints being ``f_a`` and ``f_b``."""
-    need = -(-OVER * (m_a + m_b) // (OVER + UNDER))
-    near = (np.bitwise_count((f_a ^ f_b).view(np.uint64)) <= FAR) | (m_a < LARGE)
-    return near & (UNDER * m_a >= OVER * m_b) & (1 + np.minimum(m_a - p_a - 1, m_b - p_b - 1) >= need)
-
-
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
     """Rows of longs sorted by their first column, in pieces that part no run of it."""
     held = None
@@ -125,67 +129,90 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         yield np.concatenate(held)
 
 
-_ROW = "s long, u long, m long, p long, f long, v long"
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by s and u: those with a fingerprint, and those of shingles that stand in several texts."""
+    prints: list[pa.RecordBatch] = []
 
+    def others() -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            has = b.column("f").is_valid()
+            prints.append(b.filter(has))
+            yield b.filter(pc.invert(has)).select(["s", "u"])
 
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs (u, v) of rows near each other in a run, and the rows (v null) of runs that have more pairs."""
-    for r in _runs(batches):
+    for r in _runs(others()):
         # Copies that other tasks listed too stand next to each other.
-        r = r[np.r_[True, (r[1:, :2] != r[:-1, :2]).any(axis=1)]]
-        s, u, m, p, f = r.T
-        run = np.cumsum(np.r_[True, s[1:] != s[:-1]]) - 1
-        long = np.bincount(run)[run] > NEIGHBOURS + 1
-        for d in range(1, NEIGHBOURS + 1):
-            i = np.flatnonzero(s[d:] == s[:-d])
-            i = i[~long[i] | ((d == 1) & (s[i] % FEW == 0))]
-            i = i[_possible(m[i], p[i], f[i], m[i + d], p[i + d], f[i + d])]
-            yield _batch(r[i], u[i + d])
-        yield _batch(r[long], None)
-
-
-def _batch(r: np.ndarray, v: np.ndarray | None) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([*(pa.array(c) for c in r.T), pa.nulls(len(r), pa.int64()) if v is None else pa.array(v)], ["s", "u", "m", "p", "f", "v"])
-
-
-def _others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs (u, v) of rows of a run whose classes (the last column) differ: all of them that are possible."""
-    for r in _runs(batches):
-        edges = np.flatnonzero(np.r_[True, r[1:, 0] != r[:-1, 0], True])
-        for a, z in zip(edges[:-1], edges[1:], strict=True):
-            _, u, m, p, f, root = r[a:z].T
-            label, index, size = np.unique(root, return_inverse=True, return_counts=True)
-            if len(label) == 1:
+        r = r[np.r_[True, (r[1:] != r[:-1]).any(axis=1)]]
+        run = np.cumsum(np.r_[True, r[1:, 0] != r[:-1, 0]]) - 1
+        r = r[np.bincount(run)[run] > 1]
+        yield pa.RecordBatch.from_arrays([pa.array(r[:, 0]), pa.array(r[:, 1]), pa.nulls(len(r), _PRINT)], ["s", "u", "f"])
+        yield from prints
+        prints.clear()
+    yield from prints
+
+
+
+def classes(found: list[np.ndarray]) -> np.ndarray:
+    """The index of each set's class, its first set: sets that are alike, or joined by a chain of alike sets, have the same.
+
+    Each set is compared once with those that are in no class yet, by lists
+    of the sets that hold each shingle.
+    """
+    label = np.full(len(found), -1)
+    size = np.array([len(f) for f in found])
+    _, at, count = np.unique(np.concatenate(found), return_inverse=True, return_counts=True)
+    lists = np.repeat(np.arange(len(found)), size)[np.argsort(at, kind="stable")]
+    end = np.cumsum(count)
+    edge = np.r_[0, np.cumsum(size)]
+    left = len(found)
+    for first in range(len(found)):
+        if label[first] >= 0:
+            continue
+        label[first] = first
+        left -= 1
+        asks = [first]
+        while asks and left:
+            i = asks.pop()
+            mine = at[edge[i] : edge[i + 1]]
+            mine = mine[count[mine] > 1]
+            if not len(mine):
                 continue
-            # Of two rows of different classes at least one is not in the largest.
-            asks = np.flatnonzero(index != size.argmax())
-            step = max(1, AT_ONCE // len(u))
-            for at in range(0, len(asks), step):
-                i = asks[at : at + step, None]
-                j = np.arange(len(u))[None, :]
-                low, high = np.minimum(i, j), np.maximum(i, j)
-                i, j = np.nonzero((root[i] != root[j]) & _possible(m[low], p[low], f[low], m[high], p[high], f[high]))
-                i = asks[at + i]
-                yield pa.RecordBatch.from_arrays([pa.array(u[i]), pa.array(u[j])], ["u", "v"])
-
-
-def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """a, b: those of the pairs (u, v) that are alike."""
-    pairs = materialize(pairs.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct())
-    used = pairs.select(F.explode(F.array("a", "b")).alias("u")).distinct()
-    sets = materialize(_sets(texts.join(used, "u", "left_semi")).dropDuplicates(["u"]))
-    both = pairs.join(sets.select(F.col("u").alias("a"), F.col("found").alias("x")), "a").join(sets.select(F.col("u").alias("b"), F.col("found").alias("y")), "b")
-    shared = F.size(F.array_intersect("x", "y"))
-    return materialize(both.where(shared * (OVER + UNDER) >= (F.size("x") + F.size("y")) * OVER).select("a", "b"))
-
-
-def alike(texts: DataFrame, components: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """node, root: the classes of ``texts`` (u, text; copies have one u), as ``components`` gives them from links.
+            shared = np.bincount(np.concatenate([lists[e - c : e] for e, c in zip(end[mine].tolist(), count[mine].tolist(), strict=True)]), minlength=len(found))
+            new = np.flatnonzero((shared * (OVER + UNDER) >= (size + size[i]) * OVER) & (label < 0))
+            label[new] = first
+            left -= len(new)
+            asks += new.tolist()
+    return label
+
+
+def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """a, b: a spanning forest of the links between alike sets in each block, from rows (root, pair, u, found) sorted by these."""
+    key, names, sets = None, [], []
+
+    def forest() -> pa.RecordBatch:
+        u, label = np.array(names, np.int64), classes(sets)
+        moved = np.flatnonzero(label != np.arange(len(label)))
+        return pa.RecordBatch.from_arrays([pa.array(u[moved]), pa.array(u[label[moved]])], ["a", "b"])
+
+    for b in batches:
+        found, offset = b.column("found"), b.column("found").offsets.to_numpy()
+        values = found.values.to_numpy().view(np.uint64)
+        for i, (root, pair, u) in enumerate(zip(*(b.column(c).to_pylist() for c in ("root", "pair", "u")), strict=True)):
+            if (root, pair) != key:
+                if len(sets) > 1:
+                    yield forest()
+                key, names, sets = (root, pair), [], []
+            if not names or names[-1] != u:  # copies of other tasks
+                names.append(u)
+                sets.append(values[offset[i] : offset[i + 1]].copy())
+    if len(sets) > 1:
+        yield forest()
+
+
+def alike(texts: DataFrame) -> DataFrame:
+    """node, root: the classes of ``texts`` (u, text; copies have one u).
 
     Texts whose Jaccard index is at least 0.8 are in one class, as are those
-    joined by a chain of such pairs.  Very long texts are compared whole.  Runs of a common shingle are not
-    compared pair by pair but where classes are still apart after each text
-    was compared with its neighbours there.
+    joined by a chain of such pairs.  Very long texts are compared whole.
     """
     sent = texts.sparkSession.sparkContext.broadcast(_often(texts))
 
@@ -195,18 +222,18 @@ def alike(texts: DataFrame, components: Callable[[DataFrame], DataFrame]) -> Dat
                 part = b.slice(at, 256)
                 found = [shingles(t or "") for t in part.column(1).to_pylist()]
                 cut = [prefix(f, *sent.value) for f in found]
-                n = np.array([len(c) for c in cut], np.int64)
-                of = np.repeat(np.arange(len(cut)), n)
-                p = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
-                m = np.array([len(f) for f in found], np.int64)[of]
-                print_ = np.array([simhash(f) for f in found], np.int64)[of]
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(cut).view(np.int64)), part.column(0).take(pa.array(of)), pa.array(m), pa.array(p), pa.array(print_)], ["s", "u", "m", "p", "f"])
-
-    rows = texts.select("u", "text").mapInArrow(first, "s long, u long, m long, p long, f long")
-    met = materialize(rows.repartition("s").sortWithinPartitions("s", "m", "u").mapInArrow(_neighbours, _ROW))
-    links = _confirmed(met.where("v IS NOT NULL"), texts)
-    found = components(links)
-    left = met.where("v IS NULL").select("s", "u", "m", "p", "f").join(found.withColumnRenamed("node", "u"), "u", "left")
-    left = left.select("s", "u", "m", "p", "f", F.coalesce("root", "u").alias("root"))
-    more = _confirmed(left.repartition("s").sortWithinPartitions("s", "m", "u").mapInArrow(_others, "u long, v long"), texts)
-    return components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
+                u = part.column(0).take(pa.array(np.repeat(np.arange(len(cut)), [len(c) for c in cut])))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(cut).view(np.int64)), u, pa.nulls(len(u), _PRINT)], ["s", "u", "f"])
+                # One row more for each text that has a word, with its fingerprint.
+                some = [i for i, f in enumerate(found) if len(f)]
+                u = part.column(0).take(pa.array(some, pa.int64()))
+                yield pa.RecordBatch.from_arrays([u, u, pa.array([simhash(found[i]) for i in some], _PRINT)], ["s", "u", "f"])
+
+    row = "s long, u long, f array<long>"
+    met = materialize(texts.select("u", "text").mapInArrow(first, row).repartition("s").sortWithinPartitions("s", "u").mapInArrow(_shared, row))
+    prints = met.where("f IS NOT NULL").select("u", *(F.col("f")[k].alias(f"f{k}") for k in range(LONGS))).dropDuplicates(["u"])
+    members = in_pairs(met.where("f IS NULL").select("s", "u"), ["s"], "u", CHUNK_ROWS).join(prints, "u")
+    near = components(compared(members.select("s", "pair", "u", *prints.columns[1:]), 2, 3, FAR))
+    block = materialize(near.select(F.col("node").alias("u"), "root").unionByName(near.select(F.col("root").alias("u"), "root").distinct()))
+    sets = in_pairs(_sets(texts.join(block, "u").select("u", "root", "text")), ["root"], "u", CHUNK_ROWS, block)
+    return components(sets.select("root", "pair", "u", "found").repartition("root", "pair").sortWithinPartitions("root", "pair", "u").mapInArrow(_confirmed, "a long, b long"))

@@ -21,7 +21,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landgauge.llm.common import hex16, materialize, row_key, table, text_of
-from landgauge.llm.near_copies import alike, text_key
 
 RADIUS, SHINGLE, SEED, BITS = 4, 4, 42, 64
 #: Expected distinct fingerprints in a bucket; more fingerprints get longer bucket keys.
@@ -88,7 +87,8 @@ def linked(fps: np.ndarray, group: np.ndarray, radius: int = RADIUS) -> np.ndarr
     """For rows sorted by ``group``: the index of each one's class in its group.
 
     Rows of one group within ``radius`` of each other, or joined by a chain
-    of such rows, have the same class: its first row.
+    of such rows, have the same class: its first row.  Fingerprints of more
+    than 64 bits are rows of longs.
     """
     n = len(fps)
     label = np.arange(n)
@@ -103,14 +103,11 @@ def linked(fps: np.ndarray, group: np.ndarray, radius: int = RADIUS) -> np.ndarr
     word = np.repeat(word0, size) + within // 64
     lane = (within % 64).astype(np.uint64)
     total = int(words.sum())
-    planes = np.zeros((BITS, total), np.uint64)
-    f = fps.view(np.uint64)
-    for p in range(BITS):
-        np.bitwise_or.at(planes[p], word, ((f >> np.uint64(p)) & _ONE) << lane)
-    filled = np.zeros(total, np.uint64)
-    np.bitwise_or.at(filled, word, _ONE << lane)
     start = np.zeros(total, np.int64)
     start[word[::-1]] = np.arange(n)[::-1]  # first row of each word
+    f = np.ascontiguousarray(fps.reshape(n, -1).T).view(np.uint64)
+    planes = np.stack([np.bitwise_or.reduceat(((c >> np.uint64(p)) & _ONE) << lane, start) for c in f for p in range(BITS)])
+    filled = np.bitwise_or.reduceat(_ONE << lane, start)
     # Pairs of words of one group, the query's first.
     reach = np.repeat(word0 + words, words) - np.arange(total)
     query = np.repeat(np.arange(total), reach)
@@ -119,20 +116,16 @@ def linked(fps: np.ndarray, group: np.ndarray, radius: int = RADIUS) -> np.ndarr
     for at in range(0, len(query), TILES):
         q, t = query[at : at + TILES], target[at : at + TILES]
         for i in range(busiest):
-            _compare(planes, filled, start, label, q, t, i, radius)
+            (_compare if len(planes) == BITS and radius < 8 else _compare_wide)(planes, filled, start, label, q, t, i, radius)
     return label
 
 
 def _compare(planes, filled, start, label, q, t, i: int, radius: int) -> None:
     """Merge lane ``i`` of the words ``q`` with the lanes of ``t`` in its radius."""
     lane = np.uint64(i)
-    here = (filled[q] >> lane) & _ONE == _ONE
-    later = _ALL << lane << _ONE if i < 63 else np.uint64(0)
-    live = np.where(q == t, filled[t] & later, filled[t])
-    some = np.flatnonzero(here & (live != 0))
-    if not len(some):
+    q, t, live = _live(filled, q, t, i)
+    if not len(q):
         return
-    q, t, live = q[some], t[some], live[some]
     ones, twos, fours, over = (np.zeros(len(q), np.uint64) for _ in range(4))
     for p in range(BITS):
         d = planes[p][t] ^ (np.uint64(0) - ((planes[p][q] >> lane) & _ONE))
@@ -154,7 +147,49 @@ def _compare(planes, filled, start, label, q, t, i: int, radius: int) -> None:
                 return
             if len(keep) < len(q):
                 q, t, live, ones, twos, fours, over = (x[keep] for x in (q, t, live, ones, twos, fours, over))
-    hits = live & ~over
+    _hits(live & ~over, start, label, q, t, i)
+
+
+def _compare_wide(planes, filled, start, label, q, t, i: int, radius: int) -> None:
+    """As :func:`_compare`, for any number of planes and any radius: a tree of carry-save adders."""
+    lane = np.uint64(i)
+    q, t, live = _live(filled, q, t, i)
+    if not len(q):
+        return
+    levels = len(planes).bit_length()
+    sums, spare = [np.zeros(len(q), np.uint64) for _ in range(levels)], [None] * levels
+    for plane in planes:
+        x, at = plane[t] ^ (np.uint64(0) - ((plane[q] >> lane) & _ONE)), 0
+        while spare[at] is not None:
+            either = spare[at] ^ x
+            x, spare[at], sums[at], at = (spare[at] & x) | (sums[at] & either), None, sums[at] ^ either, at + 1
+        spare[at] = x
+    # What is left over at a level is added bit by bit.
+    for at in range(levels):
+        x = spare[at]
+        for up in range(at, levels if x is not None else at):
+            sums[up], x = sums[up] ^ x, sums[up] & x
+    over, equal = np.zeros(len(q), np.uint64), np.full(len(q), _ALL)
+    for at in reversed(range(levels)):
+        if radius >> at & 1:
+            equal &= sums[at]
+        else:
+            over |= equal & sums[at]
+            equal &= ~sums[at]
+    _hits(live & ~over, start, label, q, t, i)
+
+
+def _live(filled, q, t, i: int):
+    """Those of the pairs of words (q, t) that have a lane ``i`` and lanes to compare it with, and these lanes."""
+    lane = np.uint64(i)
+    here = (filled[q] >> lane) & _ONE == _ONE
+    later = _ALL << lane << _ONE if i < 63 else np.uint64(0)
+    live = np.where(q == t, filled[t] & later, filled[t])
+    some = np.flatnonzero(here & (live != 0))
+    return q[some], t[some], live[some]
+
+
+def _hits(hits, start, label, q, t, i: int) -> None:
     bits = np.unpackbits(hits.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
     tile, lanes = np.nonzero(bits)
     _merge(label, start[q[tile]] + i, start[t[tile]] + lanes)
@@ -190,33 +225,51 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     n = fps.count()
     masks = F.array(*(F.lit(_signed(m)) for m in _tables(n, radius)))
     rows = fps.select("fp", F.posexplode(masks).alias("table", "mask")).select("fp", "table", F.col("fp").bitwiseAND(F.col("mask")).alias("key"))
-    sizes = rows.groupBy("table", "key").count().where(F.col("count") > CHUNK_ROWS)
-    # Buckets above CHUNK_ROWS: few, whatever the input, as n rows fill at most n / CHUNK_ROWS of each table's.
-    rows = rows.join(sizes, ["table", "key"], "left")
-    chunks = F.ceil(F.col("count") * 2 / CHUNK_ROWS)
-    mine = F.pmod(F.xxhash64("fp"), chunks)
+    return compared(in_pairs(rows, ["table", "key"], "fp", CHUNK_ROWS).select("table", "key", "pair", "fp"), 3, 3, radius)
+
+
+def in_pairs(rows: DataFrame, keys: list[str], by: str, most: int, counted: DataFrame | None = None) -> DataFrame:
+    """``rows`` with a column ``pair``: groups of ``keys`` above ``most`` rows are dealt as pairs of chunks, each pair a group of its own.
+
+    Any two rows of a group meet in a pair.  Smaller groups are one pair.
+    ``counted`` has the keys of all rows, where ``rows`` are dear to compute.
+    """
+    sizes = (rows if counted is None else counted).groupBy(*keys).count().where(F.col("count") > most)
+    # Groups above ``most``: few, whatever the input, as n rows fill at most n / most of them.
+    rows = rows.join(F.broadcast(sizes), keys, "left")
+    chunks = F.ceil(F.col("count") * 2 / most)
+    mine = F.pmod(F.xxhash64(by), chunks)
     pairs = F.transform(F.sequence(F.lit(0).cast("long"), chunks - 1), lambda other: F.least(mine, other) * chunks + F.greatest(mine, other))
-    rows = rows.withColumn("pair", F.explode(F.when(F.col("count").isNull(), F.array(F.lit(-1).cast("long"))).otherwise(F.array_except(pairs, F.array(mine * chunks + mine)))))
-    dealt = rows.select("table", "key", "pair", "fp").repartition("table", "key", "pair").sortWithinPartitions("table", "key", "pair")
+    return rows.withColumn("pair", F.explode(F.when(F.col("count").isNull(), F.array(F.lit(-1).cast("long"))).otherwise(F.array_except(pairs, F.array(mine * chunks + mine))))).drop("count")
+
+
+def compared(rows: DataFrame, keys: int, first: int, radius: int) -> DataFrame:
+    """a, b: a spanning forest of the links within ``radius`` in each group.
+
+    ``rows`` are longs: ``keys`` columns that name the group, then the row's
+    name; its fingerprint is in the columns from ``first`` on.
+    """
+    dealt = rows.repartition(*rows.columns[:keys]).sortWithinPartitions(*rows.columns[: keys + 1])
+    gather = GATHER // (len(rows.columns) - first)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         count = 0
 
         def forest(r: np.ndarray) -> pa.RecordBatch:
-            new = np.r_[True, (r[1:, :3] != r[:-1, :3]).any(axis=1)]
-            label = linked(np.ascontiguousarray(r[:, 3]), np.cumsum(new), radius)
+            new = np.r_[True, (r[1:, :keys] != r[:-1, :keys]).any(axis=1)]
+            label = linked(np.ascontiguousarray(r[:, first:]), np.cumsum(new), radius)
             moved = np.flatnonzero(label != np.arange(len(label)))
-            return pa.RecordBatch.from_arrays([pa.array(r[moved, 3]), pa.array(r[label[moved], 3])], ["a", "b"])
+            return pa.RecordBatch.from_arrays([pa.array(r[moved, keys]), pa.array(r[label[moved], keys])], ["a", "b"])
 
         for b in batches:
             r = np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in b.columns], axis=1)
             if len(r):
                 held.append(r)
                 count += len(r)
-            if count >= GATHER:
+            if count >= gather:
                 r = np.concatenate(held)
-                at = np.flatnonzero((r[1:, :3] != r[:-1, :3]).any(axis=1))
+                at = np.flatnonzero((r[1:, :keys] != r[:-1, :keys]).any(axis=1))
                 if len(at):  # the last group may go on
                     yield forest(r[: at[-1] + 1])
                     r = r[at[-1] + 1 :]
@@ -280,7 +333,8 @@ def keep_first(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay: one of each class of like texts.
 
     Texts are alike if they have the same words, or if their five-word
-    shingles have a Jaccard index of at least 0.8; chains of like texts are
+    shingles have a Jaccard index of at least 0.8 (found by bit-sliced
+    comparison of wide fingerprints, then checked); chains of like texts are
     one class.  The row with the smallest id stays, rows without an id last,
     ties by a hash of the text; of rows equal in all columns one stays.  Null
     texts count as empty, all empty texts as alike; very long ones are
@@ -288,11 +342,13 @@ def keep_first(docs: DataFrame) -> DataFrame:
     their names, are kept as they are.
     """
     order = F.struct(F.col("doc_id").isNull().alias("nameless"), F.col("doc_id").cast("long").alias("id"), F.xxhash64(text_of()).alias("h"))
+    from landgauge.llm.near_copies import alike, text_key  # rests on this module
+
     keys = row_key(docs, "h1", "h2")
     # All is decided on keys and hashes; rows are dealt once, to be joined with those that stay.
     first = docs.select(text_key().alias("u"), order.alias("at"), *keys).groupBy("u").agg(F.min(F.struct("at", "h1", "h2")).alias("first"))
     first = materialize(first.select("u", "first.*"))
-    found = alike(docs.select(text_key().alias("u"), text_of().alias("text")), components)
+    found = alike(docs.select(text_key().alias("u"), text_of().alias("text")))
     member = found.select(F.col("node").alias("u"), "root").unionByName(found.select(F.col("root").alias("u"), "root").distinct())
     ranked = materialize(first.select("u", "at").join(member, "u"))
     best = ranked.groupBy("root").agg(F.min(F.struct("at", "u")).alias("best"))
