@@ -260,7 +260,12 @@ def compared(rows: DataFrame, keys: int, first: int, radius: int) -> DataFrame:
             new = np.r_[True, (r[1:, :keys] != r[:-1, :keys]).any(axis=1)]
             label = linked(np.ascontiguousarray(r[:, first:]), np.cumsum(new), radius)
             moved = np.flatnonzero(label != np.arange(len(label)))
-            return pa.RecordBatch.from_arrays([pa.array(r[moved, keys]), pa.array(r[label[moved], keys])], ["a", "b"])
+            a, b = r[moved, keys], r[label[moved], keys]
+            # Rows that meet in many groups are linked once.
+            order = np.lexsort((b, a))
+            a, b = a[order], b[order]
+            new = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])][: len(a)])
+            return pa.RecordBatch.from_arrays([pa.array(a[new]), pa.array(b[new])], ["a", "b"])
 
         for b in batches:
             r = np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in b.columns], axis=1)
